@@ -34,12 +34,6 @@ class Labels:
     inline: dict | None = None
     table: DataFrame | None = None
 
-    def rows(self, spark: SparkSession) -> DataFrame:
-        if self.table is not None:
-            return self.table.select(F.col("value").cast("string"), F.col("code").cast("bigint"))
-        pairs = [(str(v), c) for v, c in self.inline.items()]
-        return spark.createDataFrame(pairs, "value string, code bigint")
-
 
 def _labels(df: DataFrame, columns: list[str], estimates: dict[str, int], max_inline: int) -> dict[str, Labels]:
     dtypes = dict(df.dtypes)
@@ -207,9 +201,13 @@ class FeatureState:
         return spark.createDataFrame(rows, "column string, mean double, scale double")
 
     def label_table(self, spark: SparkSession) -> DataFrame:
-        out = spark.createDataFrame([], "column string, dtype string, value string, code bigint")
-        for c, labels in self.labels.items():
-            out = out.unionByName(labels.rows(spark).select(F.lit(c).alias("column"), F.lit(labels.dtype).alias("dtype"), "value", "code"))
+        """(column, dtype, value, code) of all encoders."""
+        rows = [(c, x.dtype, str(v), code) for c, x in self.labels.items() if x.table is None for v, code in x.inline.items()]
+        out = spark.createDataFrame(rows, "column string, dtype string, value string, code bigint")
+        for c, x in self.labels.items():
+            if x.table is not None:
+                coded = (F.lit(c).alias("column"), F.lit(x.dtype).alias("dtype"), F.col("value").cast("string"), F.col("code").cast("bigint"))
+                out = out.unionByName(x.table.select(*coded))
         return out
 
     def save(self, spark: SparkSession, path: str) -> None:

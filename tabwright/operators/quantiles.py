@@ -76,11 +76,11 @@ def quantile_literals(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    """One row per group with columns ``<column>_<prob>``."""
+    """One row per group with columns ``<column>_q<percent>``, such as ``value_q50``."""
     long = quantiles(df, columns, probs, by)
     return long.groupBy(*by).agg(
         *[
-            F.max(F.when((F.col("column") == c) & (F.col("prob") == float(p)), F.col("value"))).alias(f"{c}_{p:g}")
+            F.max(F.when((F.col("column") == c) & (F.col("prob") == float(p)), F.col("value"))).alias(f"{c}_q{100 * p:g}")
             for c in columns
             for p in probs
         ]

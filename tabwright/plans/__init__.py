@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-TOPICS = ("tables", "features")
+TOPICS = ("tables", "features", "splits", "experiments", "monitoring", "tracking")
 
 
 def load_all() -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 HASH_MULTIPLIER = 2654435761
 HASH_MODULUS = 4294967296
 HASH_KEY_RANGE = 2147483648
+HASH_MIX = 73244475
 
 
 def rounded(value: Column, digits: int = 6) -> Column:
@@ -26,12 +27,15 @@ def is_missing(name: str, dtype: str) -> Column:
 def unit_hash(key: Column, seed: int = 42, portable: bool = False) -> Column:
     """A repeatable number in [0, 1) per key, whatever the partitioning.
 
-    ``portable`` is a multiplicative hash of an integer key that other SQL
-    engines can compute too; the default accepts any type.
+    ``portable`` mixes an integer key with plain 64-bit arithmetic, which other
+    SQL engines can repeat; the default accepts any type. Different seeds give
+    unrelated numbers.
     """
     if portable:
-        folded = F.pmod(key.cast("bigint"), F.lit(HASH_KEY_RANGE))  # keeps the product within 64 bits
+        folded = F.pmod(key.cast("bigint"), F.lit(HASH_KEY_RANGE))  # keeps every product within 64 bits
         mixed = (folded * F.lit(HASH_MULTIPLIER) + F.lit(seed)) % F.lit(HASH_MODULUS)
+        mixed = mixed.bitwiseXOR(F.shiftright(mixed, 16)) * F.lit(HASH_MIX) % F.lit(HASH_MODULUS)
+        mixed = mixed.bitwiseXOR(F.shiftright(mixed, 16)) * F.lit(HASH_MIX) % F.lit(HASH_MODULUS)
         return mixed.cast("double") / F.lit(float(HASH_MODULUS))
     mixed = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 52))
     return mixed.cast("double") / F.lit(float(1 << 52))

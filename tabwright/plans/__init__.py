@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-TOPICS = ("tables", "features", "splits", "models", "experiments", "monitoring", "tracking")
+TOPICS = ("tables", "features", "splits", "models", "experiments", "monitoring", "tracking", "explanations")
 
 
 def load_all() -> None:

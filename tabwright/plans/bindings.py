@@ -116,7 +116,11 @@ def portable_unit(seed: int = 42, key: str = "o_orderkey") -> Column:
 
 
 def unit_sql(seed: int = 42, key: str = "o_orderkey") -> str:
-    return f"(cast((({key} % 2147483648)*2654435761 + {seed}) % 4294967296 as double)/4294967296.0)"
+    """The portable hash in SQL; nested once per mixing round."""
+    first = f"((({key} % 2147483648) * 2654435761 + {seed}) % 4294967296)"
+    second = f"(xor({first}, {first} >> 16) * 73244475 % 4294967296)"
+    third = f"(xor({second}, {second} >> 16) * 73244475 % 4294967296)"
+    return f"(cast({third} as double)/4294967296.0)"
 
 
 SPLIT_SQL = f"case when {unit_sql()} < 0.8 then 'train' when {unit_sql()} < 0.9 then 'val' else 'test' end"

@@ -9,7 +9,7 @@ the widened rows back by aggregation, so only one row per key is shuffled.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -44,6 +44,12 @@ def default_background(training: DataFrame, key: str, size: int = 100, seed: int
     return sample_rows(training, key, size, seed, portable)
 
 
+def _spread(df: DataFrame, key: str, *columns: Column) -> DataFrame:
+    """Narrow rows placed by key: widening then uses all tasks, and folding back needs no second shuffle."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(F.col(key), *columns).repartition(tasks, key)
+
+
 def _long(df: DataFrame, key: str, features: Sequence[str], value: Callable[[str], Column], contribution: Callable[[str], Column], *kept: str) -> DataFrame:
     rows = [
         F.struct(F.lit(f).alias("feature"), value(f).cast("double").alias("feature_value"), contribution(f).alias("contribution"))
@@ -80,11 +86,11 @@ def attributions(
     """
     rows = background_rows(background, features)
     m, d = permutations or len(rows), len(features)
-    values = F.array(*[F.col(f).cast("double") for f in features])
+    own = [F.col(f).cast("double").alias(f"_x_{j}") for j, f in enumerate(features)]
     noise = [F.struct(F.xxhash64(key, "_perm", F.lit(seed), F.lit(j)).alias("h"), F.lit(j).alias("j")) for j in range(d)]
     start = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(len(rows)))
     walked = (
-        df.select(F.col(key), values.alias("_x"))
+        _spread(df, key, *own)
         .withColumn("_perm", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
         .withColumn("_b", F.element_at(_literal_rows(rows), ((start + F.col("_perm")) % len(rows) + 1).cast("int")))
         .withColumn("_order", F.transform(F.array_sort(F.array(*noise)), lambda s: s["j"]))
@@ -94,7 +100,7 @@ def attributions(
     walked = walked.withColumns({f"_place_{j}": place[f] for j, f in enumerate(features)}).drop("_order")
     mixed = walked.withColumns(
         {
-            f: F.when(F.col(f"_place_{j}") <= F.col("_step"), F.element_at("_x", j + 1)).otherwise(F.element_at("_b", j + 1))
+            f: F.when(F.col(f"_place_{j}") <= F.col("_step"), F.col(f"_x_{j}")).otherwise(F.element_at("_b", j + 1))
             for j, f in enumerate(features)
         }
     ).drop("_b", "_perm")
@@ -105,14 +111,14 @@ def attributions(
         for j, f in enumerate(features)
     }
     folded = scored.groupBy(key).agg(
-        F.any_value("_x").alias("_x"),
+        *[F.any_value(f"_x_{j}").alias(f"_x_{j}") for j in range(d)],
         (F.sum(F.when(step == 0, p).otherwise(0.0)) / m).alias("base_value"),
         F.avg(F.when(step == d, p)).alias("prediction"),
         *[expr.alias(f"_c_{j}") for j, expr in enumerate(sums.values())],
     )
     index = {f: j for j, f in enumerate(features)}
     return _long(
-        folded, key, features, lambda f: F.element_at("_x", index[f] + 1), lambda f: F.col(f"_c_{index[f]}"), "base_value", "prediction"
+        folded, key, features, lambda f: F.col(f"_x_{index[f]}"), lambda f: F.col(f"_c_{index[f]}"), "base_value", "prediction"
     )
 
 
@@ -223,6 +229,54 @@ def _rule(feature: str, bin_: Column, edges: Sequence[float]) -> Column:
     return text.otherwise(F.lit(f"{feature} > {edges[-1]:.2f}"))
 
 
+def _mix(h: np.ndarray) -> np.ndarray:
+    """Finalizer of a 64-bit hash: spreads consecutive integers evenly."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _perturbed_schema(rows: DataFrame, features: Sequence[str]) -> str:
+    key, dtype = rows.dtypes[0]
+    doubles = [*[f"_x_{j}" for j in range(len(features))], *features, *[f"_z_{j}" for j in range(len(features))]]
+    return f"`{key}` {dtype}, _sample int, " + ", ".join(f"`{c}` double" for c in doubles)
+
+
+def _perturb(bins: list[dict], features: list[str], samples: int, key: str):
+    """Draw ``samples`` neighbours per row: a training bin by its share, then a value inside it.
+
+    Sample 0 is the row itself. ``_z_j`` tells whether feature j stayed in its own bin.
+    Numbers depend on the row's seed only, so a repeated task draws the same ones.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = max(1, 200_000 // samples)
+        sample = np.arange(samples, dtype="uint64")
+        for batch in batches:
+            for at in range(0, len(batch), step):
+                part = batch.iloc[at : at + step]
+                n = len(part)
+                seeds = part["_seed"].to_numpy().astype("int64").view("uint64")
+                out = {key: np.repeat(part[key].to_numpy(), samples), "_sample": np.tile(sample.astype("int32"), n)}
+                values, kept = {}, {}
+                for j, spec in enumerate(bins):
+                    x = part[f"_x_{j}"].to_numpy(dtype="float64")
+                    h = _mix(_mix(seeds[:, None] + sample[None, :] * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(j + 1))
+                    share = (h >> np.uint64(32)).astype("float64") / 2.0**32
+                    inside = (h & np.uint64(0xFFFFFFFF)).astype("float64") / 2.0**32
+                    drawn = np.searchsorted(np.cumsum(spec["share"])[:-1], share, side="right")
+                    own = np.searchsorted(np.asarray(spec["edges"]), x, side="left")
+                    low, high = np.asarray(spec["low"]), np.asarray(spec["high"])
+                    value = low[drawn] + inside * (high[drawn] - low[drawn])
+                    value[:, 0], drawn[:, 0] = x, own
+                    out[f"_x_{j}"] = np.repeat(x, samples)
+                    values[features[j]] = value.ravel()
+                    kept[f"_z_{j}"] = (drawn == own[:, None]).astype("float64").ravel()
+                yield pd.DataFrame({**out, **values, **kept})
+
+    return run
+
+
 def local_surrogates(
     df: DataFrame, key: str, features: Sequence[str], scorer: Scorer, training: DataFrame,
     samples: int = 1000, top: int = 10, seed: int = 42, penalty: float = 1.0,
@@ -235,61 +289,43 @@ def local_surrogates(
     """
     bins, d = quartile_bins(training, features), len(features)
     width2 = 0.75 * 0.75 * d
-
-    def unit(j: int, salt: int) -> Column:
-        return F.pmod(F.xxhash64(key, "_sample", F.lit(seed), F.lit(j), F.lit(salt)), F.lit(1 << 52)).cast("double") / float(1 << 52)
-
-    widened = df.select(F.col(key), F.array(*[F.col(f).cast("double") for f in features]).alias("_x")).withColumn(
-        "_sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))
-    )
-    drawn, placed, same = {}, {}, {}
-    for j, f in enumerate(features):
-        spec = bins[f]
-        cumulative, total = [], 0.0
-        for share in spec["share"][:-1]:
-            total += share
-            cumulative.append(total)
-        own = _bin(F.element_at("_x", j + 1), spec["edges"])
-        # A bin no training value falls into has share 0 and is never drawn.
-        chosen = sum(((unit(j, 0) >= F.lit(c)).cast("int") for c in cumulative), F.lit(0))
-        drawn[f"_own_{j}"], drawn[f"_drawn_{j}"] = own, F.when(F.col("_sample") == 0, own).otherwise(chosen)
-        low, high = (F.array(*[F.lit(float(v)) for v in spec[k]]) for k in ("low", "high"))
-        at = F.col(f"_drawn_{j}") + 1
-        inside = F.element_at(low, at) + unit(j, 1) * (F.element_at(high, at) - F.element_at(low, at))
-        placed[f] = F.when(F.col("_sample") == 0, F.element_at("_x", j + 1)).otherwise(inside)
-        same[f"_z_{j}"] = (F.col(f"_drawn_{j}") == F.col(f"_own_{j}")).cast("double")
-    scored = scorer(widened.withColumns(drawn).withColumns(placed).withColumns(same))
+    own = [F.col(f).cast("double").alias(f"_x_{j}") for j, f in enumerate(features)]
+    rows = _spread(df, key, F.xxhash64(key, F.lit(seed)).alias("_seed"), *own)
+    perturbed = rows.mapInPandas(_perturb([bins[f] for f in features], list(features), samples, key), _perturbed_schema(rows, features))
+    scored = scorer(perturbed)
     z = [F.col(f"_z_{j}") for j in range(d)]
     moved = F.lit(float(d)) - sum(z, F.lit(0.0))
     weighted = scored.withColumn("_w", F.sqrt(F.exp(-moved / width2)))
     w, y = F.col("_w"), F.col("prediction")
     gram = [(i, j) for i in range(d) for j in range(i, d)]
     sums = weighted.groupBy(key).agg(
-        F.any_value("_x").alias("_x"),
+        *[F.any_value(f"_x_{j}").alias(f"_x_{j}") for j in range(d)],
         F.max(F.when(F.col("_sample") == 0, y)).alias("prediction"),
         F.array(F.sum(w), F.sum(w * y), *[F.sum(w * c) for c in z], *[F.sum(w * c * y) for c in z], *[F.sum(w * z[i] * z[j]) for i, j in gram]).alias("_sums"),
     )
 
     @F.pandas_udf("intercept double, chosen array<int>, weights array<double>")
     def solve(batch: pd.Series) -> pd.DataFrame:
-        out = []
-        for s in batch:
-            total, total_y = s[0], s[1]
-            zw, zy = s[2 : 2 + d], s[2 + d : 2 + 2 * d]
-            mean_z, mean_y = zw / total, total_y / total
-            zz = np.zeros((d, d))
-            for v, (i, j) in zip(s[2 + 2 * d :], gram):
-                zz[i, j] = zz[j, i] = v
-            a = zz - total * np.outer(mean_z, mean_z)
-            right = zy - total * mean_z * mean_y
-            first = np.linalg.solve(a + penalty * np.eye(d), right)
-            pick = np.argsort(-np.abs(first), kind="stable")[:top]
-            weights = np.linalg.solve(a[np.ix_(pick, pick)] + penalty * np.eye(len(pick)), right[pick])
-            out.append((float(mean_y - weights @ mean_z[pick]), [int(i) for i in pick], [float(x) for x in weights]))
-        return pd.DataFrame(out, columns=["intercept", "chosen", "weights"])
-
-    solved = sums.select(key, "_x", "prediction", solve("_sums").alias("s"))
-    rules = F.array(*[_rule(f, _bin(F.element_at("_x", j + 1), bins[f]["edges"]), bins[f]["edges"]) for j, f in enumerate(features)])
+        if batch.empty:
+            return pd.DataFrame({"intercept": [], "chosen": [], "weights": []})
+        s = np.stack(batch.to_numpy())
+        total, mean_y = s[:, 0], s[:, 1] / s[:, 0]
+        mean_z, zy = s[:, 2 : 2 + d] / total[:, None], s[:, 2 + d : 2 + 2 * d]
+        zz = np.zeros((len(s), d, d))
+        for k, (i, j) in enumerate(gram):
+            zz[:, i, j] = zz[:, j, i] = s[:, 2 + 2 * d + k]
+        a = zz - total[:, None, None] * mean_z[:, :, None] * mean_z[:, None, :]
+        right = zy - total[:, None] * mean_z * mean_y[:, None]
+        first = np.linalg.solve(a + penalty * np.eye(d), right[:, :, None])[:, :, 0]
+        pick = np.argsort(-np.abs(first), axis=1, kind="stable")[:, :top]
+        kept = np.take_along_axis(np.take_along_axis(a, pick[:, :, None], 1), pick[:, None, :], 2)
+        weights = np.linalg.solve(kept + penalty * np.eye(pick.shape[1]), np.take_along_axis(right, pick, 1)[:, :, None])[:, :, 0]
+        intercept = mean_y - (weights * np.take_along_axis(mean_z, pick, 1)).sum(axis=1)
+        return pd.DataFrame({"intercept": intercept, "chosen": pick.astype("int32").tolist(), "weights": weights.tolist()})
+
+    xs = [f"_x_{j}" for j in range(d)]
+    solved = sums.select(key, *xs, "prediction", solve("_sums").alias("s"))
+    rules = F.array(*[_rule(f, _bin(F.col(x), bins[f]["edges"]), bins[f]["edges"]) for x, f in zip(xs, features)])
     names = F.array(*[F.lit(f) for f in features])
     local = F.col("s.intercept") + F.aggregate("s.weights", F.lit(0.0), lambda acc, v: acc + v)
     return (

@@ -45,3 +45,18 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     path = new_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by or [])
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, where = _file_system(spark, path)
+    return fs.exists(where) and fs.getFileStatus(where).isDirectory()

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import cut_right, day_parts, interaction, parse_day
-from tabwright.lineage import cut
+from tabwright.lineage import cut, exists
 from tabwright.operators.ranking import running_totals
 from tabwright.roles import Roles
 
@@ -233,16 +233,11 @@ class FeatureState:
             else:
                 state.labels[c] = Labels(dtype, table=mine.select(F.col("value").cast(dtype), "code"))
         state.feature_names = list(spark.read.parquet(f"{path}/features").first()["names"])
-        if _exists(spark, f"{path}/group_mean"):
+        if exists(spark, f"{path}/group_mean"):
             state.group_mean = spark.read.parquet(f"{path}/group_mean")
         return state
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a state table if a count says it is small; otherwise let Spark choose the join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.lineage import exists
 from tabwright.operators.drift import drift_report, overall
 from tabwright.operators.profile import correlations, duplicate_rate, missing_rate
 from tabwright.roles import Roles
@@ -94,9 +95,7 @@ def compare_with_baseline(current: DataFrame, baseline: DataFrame, drop: float =
 
 def monitor_performance(spark: SparkSession, current: DataFrame, path: str, recorded_at: Column, drop: float = 0.1) -> DataFrame:
     """Check against the stored baseline; the first run stores its own metrics as the baseline."""
-    from tabwright.operators.features import _exists
-
-    if not _exists(spark, path):
+    if not exists(spark, path):
         current.select("metric", "value", recorded_at.alias("recorded_at")).write.mode("append").parquet(path)
     return compare_with_baseline(current, latest_baseline(spark.read.parquet(path)), drop)
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-TOPICS = ("tables", "features", "splits", "models", "experiments", "monitoring", "tracking", "explanations")
+TOPICS = ("tables", "features", "splits", "models", "experiments", "monitoring", "tracking", "explanations", "streams")
 
 
 def load_all() -> None:

@@ -25,10 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return demand_of(table(spark, sf_dir, "orders"))
+
+
+def demand_of(orders: DataFrame) -> DataFrame:
     """Daily rental demand derived from orders."""
     key, day = F.col("o_orderkey"), F.col("o_orderdate")
     weekday = F.dayofweek(day) - 1
-    base = table(spark, sf_dir, "orders").select(
+    base = orders.select(
         key,
         day,
         (key + 1).alias("instant"),
@@ -95,11 +99,14 @@ DEMAND_DIRTY = DEMAND + """, demand_dirty as (
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return requests_of(demand(spark, sf_dir))
+
+
+def requests_of(days: DataFrame) -> DataFrame:
     """Scoring requests: raw features, some with values out of range."""
     key = F.col("o_orderkey")
     return (
-        demand(spark, sf_dir)
-        .select("o_orderkey", *CATEGORICAL, *NUMERICAL)
+        days.select("o_orderkey", *CATEGORICAL, *NUMERICAL)
         .withColumn("season", F.when(key % 23 == 0, 9).otherwise(F.col("season")))
         .withColumn("hum", F.when(key % 29 == 0, 1.5).otherwise(F.col("hum")))
     )
@@ -147,9 +154,14 @@ cur as (select * replace (hum*0.8+0.1 as hum) from demand where o_orderdate >= d
 
 
 def arms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arms_of(table(spark, sf_dir, "events"))
+
+
+def arms_of(events: DataFrame) -> DataFrame:
     """Logged outcomes of a two-arm test."""
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
+        "ts",
         "user_id",
         F.when(F.col("user_id") % 2 == 0, "control").otherwise("treatment").alias("arm"),
         F.col("event_type").alias("segment"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.lineage import cut
-from tabwright.operators.quantiles import quantile_literals
+from tabwright.operators.quantiles import MAX_COUNTERS, quantile_literals
 from tabwright.operators.ranking import running_totals
 
 FLOOR = 1e-6
@@ -79,11 +79,19 @@ def binned_counts(counts: DataFrame, edges: dict[str, list[float]]) -> DataFrame
     return counts.groupBy("column", bin_.alias("bin")).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
 
 
-def distances(counts: DataFrame, spread: DataFrame) -> DataFrame:
+def distances(counts: DataFrame) -> DataFrame:
     """Exact Kolmogorov-Smirnov and normalised Wasserstein distance per column.
 
-    ``spread`` holds (column, n_ref_all, n_cur_all, std_ref), one row per column.
+    Row totals and the reference's std come from the value counts too, one row
+    per column, so the tables themselves are not read again.
     """
+    n, v = F.col("n_ref").cast("double"), F.col("value")
+    totals = counts.groupBy("column").agg(
+        F.sum("n_ref").alias("n_ref_all"), F.sum("n_cur").alias("n_cur_all"), F.try_divide(F.sum(n * v), F.sum(n)).alias("_mean")
+    )
+    squares = counts.join(F.broadcast(totals), "column").groupBy("column").agg(F.sum(n * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_ss"))
+    std = F.sqrt(F.try_divide(F.col("_ss"), F.col("n_ref_all")))
+    spread = totals.join(squares, "column").select("column", "n_ref_all", "n_cur_all", std.alias("std_ref"))
     upto = running_totals(counts, ["column"], "value", ["n_ref", "n_cur"]).join(F.broadcast(spread), "column")
     f = F.try_divide(F.col("upto_n_ref").cast("double"), F.col("n_ref_all"))
     g = F.try_divide(F.col("upto_n_cur").cast("double"), F.col("n_cur_all"))
@@ -94,22 +102,21 @@ def distances(counts: DataFrame, spread: DataFrame) -> DataFrame:
     )
 
 
-def _spread(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
-    def clean(c: str) -> Column:
-        return F.nanvl(F.col(c).cast("double"), F.lit(None))
-
-    r = ref.agg(*[e for i, c in enumerate(columns) for e in (F.count(clean(c)).alias(f"n{i}"), F.stddev_pop(clean(c)).alias(f"s{i}"))]).first()
-    k = cur.agg(*[F.count(clean(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    rows = [(c, r[f"n{i}"], k[f"n{i}"], r[f"s{i}"]) for i, c in enumerate(columns)]
-    return ref.sparkSession.createDataFrame(rows, "column string, n_ref_all bigint, n_cur_all bigint, std_ref double")
+def counted_edges(counts: DataFrame, ref: DataFrame, columns: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
+    """``quantile_edges`` from value counts; the table is only read where a column has too many values."""
+    sizes = counts.groupBy("column").count().collect()
+    if max((r["count"] for r in sizes), default=0) > MAX_COUNTERS:
+        return quantile_edges(ref, columns, bins)
+    probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    found = counts.groupBy("column").agg(F.percentile("value", probs, F.col("n_ref")).alias("edges")).collect()
+    return {r["column"]: sorted(set(r["edges"] or [])) for r in found}
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """(column, ks, wasserstein, psi) of numeric columns."""
+    """(column, ks, wasserstein, psi) of numeric columns, from one pass over each table."""
     counts = cut(value_counts(ref, cur, columns, "double"))
-    moved = distances(counts, _spread(ref, cur, columns))
-    psi = stability_index(binned_counts(counts, quantile_edges(ref, columns, bins)))
-    return moved.join(psi, "column", "left")
+    psi = stability_index(binned_counts(counts, counted_edges(counts, ref, columns, bins)))
+    return distances(counts).join(psi, "column", "left")
 
 
 def categorical_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import prediction_interval, unit_hash
 from tabwright.functions.distributions import t_critical
+from tabwright.lineage import spread_small
 from tabwright.operators.checks import split_by_ranges
 from tabwright.operators.evaluation import as_long, regression_metrics
 from tabwright.operators.features import FeatureState
@@ -80,7 +81,7 @@ def fit(df: DataFrame, model: str, features: Sequence[str], target: str, **param
     """Fit one model of the zoo; rows with a missing feature or target are left out."""
     if model not in ZOO:
         raise ValueError(f"Unknown model: {model}")
-    rows = df.select(*features, F.col(target).cast("double").alias(target)).na.drop()
+    rows = spread_small(df.select(*features, F.col(target).cast("double").alias(target)).na.drop())
     if model == "ridge":
         n, std = rows.agg(F.count(F.lit(1)), F.stddev_samp(target)).first()
         params = {**params, "n": n, "label_std": std}

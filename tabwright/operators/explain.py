@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.lineage import cut
 from tabwright.operators.quantiles import quantile_literals
 from tabwright.operators.split import sample_rows
 
@@ -358,19 +359,28 @@ def explain_model(attributed: DataFrame, importances: Sequence[tuple[str, float]
 
 
 def explanation_report(
-    attributed: DataFrame, surrogates: DataFrame, key: str, n_train: int, n_test: int, local_samples: int = 5, top: int = 4
-) -> DataFrame:
-    """Global ranking, a few local samples, the top features and row counts as one long table."""
+    rows: DataFrame, key: str, attributed: DataFrame, surrogates_of: Callable[[DataFrame], DataFrame], n_train: int,
+    local_samples: int = 5, top: int = 4,
+) -> DataFrame:
+    """Global ranking, a few local samples, the top features and row counts as one long table.
+
+    Attributions cover all ``rows`` and are computed once; surrogates are only
+    fitted for the local samples.
+    """
+    attributed = cut(attributed)
+    picked = sample_rows(rows, key, local_samples)
+    local = explain_rows(attributed.join(F.broadcast(picked.select(key)), key, "left_semi"), surrogates_of(picked), key)
     ranked = global_importance(attributed)
-    none = F.lit(None).cast("string")
-    picked = attributed.select(key).distinct().orderBy(F.xxhash64(key)).limit(local_samples)
-    local = explain_rows(attributed, surrogates, key).join(F.broadcast(picked), key, "left_semi")
-    counts = attributed.sparkSession.createDataFrame([("training_samples", float(n_train)), ("test_samples", float(n_test))], "feature string, value double")
+    none = F.lit(None).cast("string").alias("row_key")
     row_key = F.col(key).cast("string").alias("row_key")
+    n_test = attributed.agg(F.count_distinct(key).cast("double").alias("value"))
+    n_rows = n_test.select(F.lit("test_samples").alias("feature"), "value").unionByName(
+        n_test.select(F.lit("training_samples").alias("feature"), F.lit(float(n_train)).alias("value"))
+    )
     return (
-        ranked.select(F.lit("global").alias("section"), none.alias("row_key"), "feature", F.col("importance").alias("value"))
-        .unionByName(ranked.limit(top).select(F.lit("top_features").alias("section"), none.alias("row_key"), "feature", F.col("importance").alias("value")))
+        ranked.select(F.lit("global").alias("section"), none, "feature", F.col("importance").alias("value"))
+        .unionByName(ranked.limit(top).select(F.lit("top_features").alias("section"), none, "feature", F.col("importance").alias("value")))
         .unionByName(local.select(F.lit("local_attribution").alias("section"), row_key, "feature", F.col("contribution").alias("value")))
         .unionByName(local.filter("rule is not null").select(F.lit("local_rule").alias("section"), row_key, F.col("rule").alias("feature"), F.col("weight").alias("value")))
-        .unionByName(counts.select(F.lit("metadata").alias("section"), none.alias("row_key"), "feature", "value"))
+        .unionByName(n_rows.select(F.lit("metadata").alias("section"), none, "feature", "value"))
     )

@@ -188,10 +188,10 @@ class FeatureState:
             df = df.withColumn("wind_category", _code("wind_category", labels, "keep", default=WIND_DEFAULT_CODE))
         if {"temp", "season"} <= set(df.columns):
             if group_mean == "batch" or self.group_mean is None:
-                means = cut(df.groupBy("season").agg(F.avg("temp").alias("mean_temp")))
+                means = small_once(df.groupBy("season").agg(F.avg("temp").alias("mean_temp")))
             else:
-                means = self.group_mean
-            df = centred(df, "temp", "season", small(means), "temp_season_adjusted")
+                means = small(self.group_mean)
+            df = centred(df, "temp", "season", means, "temp_season_adjusted")
         return df
 
     # -- keeping -----------------------------------------------------------
@@ -243,6 +243,11 @@ def small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def small_once(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``small`` for a table that is costly to derive: it is computed once, then counted and joined."""
+    return small(cut(df), limit)
+
+
 def centred(df: DataFrame, value: str, group: str, means: DataFrame, name: str) -> DataFrame:
     """``value`` minus the mean of its group; the means join in, so a huge group is never one task."""
     joined = df.join(means.withColumnRenamed(group, "_group"), F.col(group) == F.col("_group"), "left")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.operators.features import small
+from tabwright.operators.features import small_once
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -41,12 +41,12 @@ def lifecycle(log: DataFrame, id_column: str = "run_id", carried: Sequence[str]
 def runs_outside_active(runs: DataFrame, experiments: DataFrame) -> DataFrame:
     """Runs whose experiment is unknown or not active."""
     active = experiments.filter("status = 'active'").select("experiment_id")
-    return runs.join(small(active), "experiment_id", "left_anti")
+    return runs.join(small_once(active), "experiment_id", "left_anti")
 
 
 def runs_of_active(runs: DataFrame, experiments: DataFrame) -> DataFrame:
     active = experiments.filter("status = 'active'").select("experiment_id")
-    return runs.join(small(active), "experiment_id", "left_semi")
+    return runs.join(small_once(active), "experiment_id", "left_semi")
 
 
 def last_values(metrics: DataFrame, order: Sequence[str] = ("ts", "seq"), keys: Sequence[str] = ("run_id",)) -> DataFrame:
@@ -56,7 +56,7 @@ def last_values(metrics: DataFrame, order: Sequence[str] = ("ts", "seq"), keys:
 
 def find_runs(runs: DataFrame, ids: DataFrame) -> DataFrame:
     """Runs with a requested id; ids that do not exist are ignored."""
-    return runs.join(small(ids.select("run_id").distinct()), "run_id", "left_semi")
+    return runs.join(small_once(ids.select("run_id").distinct()), "run_id", "left_semi")
 
 
 def run_counts(runs: DataFrame) -> DataFrame:

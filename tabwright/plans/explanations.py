@@ -106,8 +106,18 @@ def local_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("explanation_report")
 def explanation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model = _small_forest(spark, sf_dir)
-    n = rows.count()
-    return explain.explanation_report(_forest_attributions(rows, model, 2), _surrogates(rows, model), KEY, n, n)
+
+    def surrogates_of(picked: DataFrame) -> DataFrame:
+        return explain.local_surrogates(picked, KEY, EXPLAINED, lambda df: training.predict(model, df), rows, samples=1000)
+
+    return explain.explanation_report(rows, KEY, _forest_attributions(rows, model, 2), surrogates_of, rows.count())
+
+
+@query("explained_rows")
+def explained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribution and surrogate rule of every row and feature."""
+    rows, model = _small_forest(spark, sf_dir)
+    return explain.explain_rows(_forest_attributions(rows, model, 2), _surrogates(rows, model), KEY)
 
 
 TEMP_GRID = [0.0, 0.125, 0.25, 0.5, 0.75, 1.0]

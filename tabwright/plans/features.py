@@ -255,7 +255,7 @@ select o_orderkey, season, round(mean_temp, 6) + 0.0 as season_mean from demand
 )
 def group_mean_on_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = b.demand(spark, sf_dir)
-    means = features.small(days.groupBy("season").agg(rounded(F.avg("temp")).alias("season_mean")))
+    means = features.small_once(days.groupBy("season").agg(rounded(F.avg("temp")).alias("season_mean")))
     return days.join(means, "season").select("o_orderkey", "season", "season_mean")
 
 

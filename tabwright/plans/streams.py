@@ -134,7 +134,8 @@ def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def raised(rows: DataFrame) -> DataFrame:
         """All bins of the windows this batch touched, judged again."""
         touched = rows.select("window_start").distinct()
-        known = sinks.latest_of(spark, counts, bins.schema, ["window_start", "column", "bin"])
+        since = touched.agg(F.min("window_start")).first()[0]
+        known = sinks.latest_of(spark, counts, bins.schema, ["window_start", "column", "bin"]).filter(F.col("window_start") >= F.lit(since))
         return operators.window_alerts(operators.window_drift(known.join(touched, "window_start", "left_semi"), shares), 0.005)
 
     sinks.run_into(bins, {counts: lambda rows: rows, path: raised}, new_path(spark, "alerts-progress"), "update").awaitTermination()

@@ -1,9 +1,9 @@
 """Exact quantiles with linear interpolation.
 
-``percentile`` keeps one counter per distinct value in memory, which is exact and
-cheap for columns of limited cardinality. Where a cardinality estimate says the
-counters would not fit, the same quantiles come from ranks over the distinct
-values instead.
+Rows shrink to counts per distinct value first, in one pass with map-side
+combine, whatever the skew. Groups with few distinct values then go through
+``percentile`` with frequencies, whose counters must fit one task; groups with
+more are ranked across tasks instead. Both give the same numbers.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.lineage import cut
 from tabwright.operators.ranking import running_totals
 
 MAX_COUNTERS = 1_000_000
@@ -22,37 +23,31 @@ MAX_COUNTERS = 1_000_000
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), max_counters: int = MAX_COUNTERS
 ) -> DataFrame:
-    """(by..., column, prob, value) for every column and probability; nulls are ignored."""
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    if max(sizes) <= max_counters:
-        return _by_counters(df, columns, probs, by)
-    return _by_ranks(df, columns, probs, by)
+    """(by..., column, prob, value) for every column and probability; null and NaN are ignored."""
+    groups = [*by, "column"]
+    counts = cut(_value_counts(df, columns, by))
+    largest = counts.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+    return (_by_counters if largest <= max_counters else _by_ranks)(counts, groups, probs)
+
 
+def _value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns])
+    values = df.select(*by, F.inline(pairs)).filter("_v is not null and not isnan(_v)")
+    return values.groupBy(*by, "column", "_v").agg(F.count(F.lit(1)).alias("n"))
 
-def _by_counters(df: DataFrame, columns, probs, by) -> DataFrame:
+
+def _by_counters(counts: DataFrame, groups: list[str], probs: Sequence[float]) -> DataFrame:
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(f"q{i}") for i, c in enumerate(columns)])
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"), F.element_at(f"q{i}", j + 1).alias("value"))
-            for i, c in enumerate(columns)
-            for j, p in enumerate(probs)
-        ]
-    )
-    return wide.select(*by, F.inline(rows))
+    found = counts.groupBy(*groups).agg(F.percentile("_v", wanted, F.col("n")).alias("_q"))
+    rows = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.element_at("_q", j + 1).alias("value")) for j, p in enumerate(probs)])
+    return found.select(*groups, F.inline(rows))
 
 
-def _by_ranks(df: DataFrame, columns, probs, by) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns])
-    groups = [*by, "column"]
-    distinct = (
-        df.select(*by, F.inline(pairs)).filter("_v is not null").groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranked = running_totals(distinct, groups, "_v", ["n"])
-    sizes = ranked.groupBy(*groups).agg(F.max("upto_n").alias("_total"))
-    position = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+def _by_ranks(counts: DataFrame, groups: list[str], probs: Sequence[float]) -> DataFrame:
+    ranked = running_totals(counts, groups, "_v", ["n"])
+    sizes = counts.groupBy(*groups).agg(F.sum("n").alias("_total"))
     targets = (
-        sizes.select(*groups, "_total", position.alias("prob"))
+        sizes.select(*groups, "_total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
         .withColumn("_at", (F.col("_total") - 1) * F.col("prob"))
         .withColumn("_low", F.floor("_at"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -68,7 +69,7 @@ def main():
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
     spark = (
-        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", os.environ.get("ORACLE_PARTITIONS", "8"))
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.driver.memory", "12g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

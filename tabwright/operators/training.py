@@ -62,7 +62,7 @@ def _lasso(params: Mapping):
 
 
 def _ridge(params: Mapping):
-    """``n`` and ``label_std`` translate a penalty on the sum of squares into Spark's scaled one."""
+    """``n`` and ``label_std`` (population) translate a penalty on the sum of squares into Spark's scaled one."""
     penalty = float(params.get("alpha", 1.0)) / params["n"] * params["label_std"]
     return LinearRegression(solver="normal", elasticNetParam=0.0, regParam=penalty, standardization=False)
 
@@ -83,7 +83,7 @@ def fit(df: DataFrame, model: str, features: Sequence[str], target: str, **param
         raise ValueError(f"Unknown model: {model}")
     rows = spread_small(df.select(*features, F.col(target).cast("double").alias(target)).na.drop())
     if model == "ridge":
-        n, std = rows.agg(F.count(F.lit(1)), F.stddev_samp(target)).first()
+        n, std = rows.agg(F.count(F.lit(1)), F.stddev_pop(target)).first()
         params = {**params, "n": n, "label_std": std}
     estimator = ZOO[model](params).setFeaturesCol(VECTOR).setLabelCol(target).setPredictionCol(PREDICTION)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=VECTOR), estimator]).fit(rows)

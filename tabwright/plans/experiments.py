@@ -48,9 +48,10 @@ def moments_sql(source: str, metric: str, by: str, name: str = "m") -> str:
     return f"{name} as (select {by}, {sides} from {source} group by {by})"
 
 
-WELCH = """w as (select *, (cm - tm) / sqrt(cv/cn + tv/tn) as t,
-  pow(cv/cn + tv/tn, 2) / (pow(cv/cn, 2)/(cn - 1) + pow(tv/tn, 2)/(tn - 1)) as df,
-  abs(tm - cm) / sqrt(((cn - 1)*cs*cs + (tn - 1)*ts*ts) / (cn + tn - 2)) as d, (tm - cm) / cm as lift from m)"""
+# Arms too small for a statistic leave it null.
+WELCH = """w as (select *, (cm - tm) / nullif(sqrt(cv/cn + tv/tn), 0) as t,
+  pow(cv/cn + tv/tn, 2) / nullif(pow(cv/cn, 2)/nullif(cn - 1, 0) + pow(tv/tn, 2)/nullif(tn - 1, 0), 0) as df,
+  abs(tm - cm) / nullif(sqrt(((cn - 1)*cs*cs + (tn - 1)*ts*ts) / nullif(cn + tn - 2, 0)), 0) as d, (tm - cm) / nullif(cm, 0) as lift from m)"""
 
 
 @query(
@@ -174,7 +175,7 @@ def test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CUMULATIVE = f"""days as (select distinct segment, look from arms),
 upto as (select d.segment, d.look, a.arm, a.value from days d join arms a on a.segment = d.segment and a.look <= d.look),
 {moments_sql('upto', 'value', 'segment, look')}, {WELCH},
-p as (select *, {t_tail('t', 'df')} as p from w where cn > 1 and tn > 1),
+p as (select *, {t_tail('t', 'df')} as p from w),
 s as (select *, case when p < 0.005 then '{abtest.STRONG_EVIDENCE}' when d < 0.01 then '{abtest.NEGLIGIBLE}' end as reason from p)"""
 
 

@@ -146,7 +146,7 @@ def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "streamed_sequential_looks",
     f"""with {b.ARMS}, days as (select distinct segment, look from arms),
 upto as (select d.segment, d.look, a.arm, a.value from days d join arms a on a.segment = d.segment and a.look <= d.look),
-{moments_sql('upto', 'value', 'segment, look')}, {WELCH}, p as (select *, {t_tail('t', 'df')} as p from w where cn > 1 and tn > 1)
+{moments_sql('upto', 'value', 'segment, look')}, {WELCH}, p as (select *, {t_tail('t', 'df')} as p from w)
 select segment, look, cn + tn as total_count, round(p, 6) + 0.0 as p_value, round(d, 6) + 0.0 as effect_size,
   case when p < 0.005 then '{abtest.STRONG_EVIDENCE}' when d < 0.01 then '{abtest.NEGLIGIBLE}' end as stop_reason from p""",
 )

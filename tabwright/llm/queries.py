@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import exact, heapbpe
+from tabwright.llm import exact, heapbpe, packing, prefixbpe, quality, shards
 from tabwright.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,32 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heapbpe.token_counts(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(read_table(spark, sf_dir, "documents"))
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.packed(docs, ranks, public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return prefixbpe.round_trips(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.balanced_shards(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(read_table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import exact, heapbpe, lm, packing, prefixbpe, quality, shards
+from tabwright.llm import exact, heapbpe, lm, packing, prefixbpe, quality, shards, substrings
 from tabwright.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,25 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixbpe.round_trips(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_report(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op8_substring_dedup"] = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+v as (select doc_id, ws, unnest(range(1, len(ws) - 18)) as s from d where len(ws) >= 20),
+k as (select doc_id, s, array_to_string(ws[s:s + 19], ' ') as t from v),
+r as (select doc_id, s from (select doc_id, s, min((doc_id, s)) over (partition by t) as first from k) where first <> (doc_id, s)),
+c as (select distinct doc_id, unnest(range(s, s + 20)) as i from r),
+n as (select doc_id, count(*) as n_removed from c group by doc_id),
+u as (select doc_id, unnest(ws) as w, unnest(range(1, len(ws) + 1)) as i from d),
+t as (select doc_id, string_agg(w, ' ' order by i) as t from u anti join c using (doc_id, i) group by doc_id)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join n using (doc_id) left join t using (doc_id)
+"""
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.balanced_shards(read_table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import exact, heapbpe, lm, packing, prefixbpe, quality, shards, substrings
+from tabwright.llm import exact, heapbpe, lines, lm, packing, prefixbpe, quality, shards, substrings
 from tabwright.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return packing.packed(docs, ranks, public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.removal_report(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.held_out_scores(read_table(spark, sf_dir, "documents"))

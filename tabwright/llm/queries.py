@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import exact, heapbpe, lines, lm, packing, prefixbpe, quality, shards, substrings
+from tabwright.llm import exact, heapbpe, lines, lm, ngrams, packing, prefixbpe, quality, shards, substrings
 from tabwright.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,28 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heapbpe.token_counts(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op2_ngram_jaccard_join"] = r"""
+with recursive d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') as ws from documents),
+g as (
+  select distinct doc_id, array_to_string(ws[s:s + 4], ' ') as g from (select doc_id, ws, unnest(range(1, len(ws) - 3)) as s from d where len(ws) >= 5)
+  union all select doc_id, array_to_string(ws, ' ') from d where len(ws) between 1 and 4
+),
+n as (select doc_id, count(*) as n from g group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as k from g a join g b using (g) where a.doc_id <> b.doc_id group by all),
+l as (
+  select x, y from p join n a on x = a.doc_id join n b on y = b.doc_id where 5 * k >= 4 * (a.n + b.n - k)
+  union select a.doc_id, b.doc_id from d a join d b on a.t = b.t and a.doc_id <> b.doc_id
+),
+c(x, c) as (select doc_id, doc_id from d union select l.y, c.c from c join l on c.x = l.x where c.c < l.y)
+select d.doc_id, (select min(c.c) from c where c.x = d.doc_id) as class_id, (select count(*) from l where l.x = d.doc_id) as n_links from d
+"""
+
+
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(read_table(spark, sf_dir, "documents"))

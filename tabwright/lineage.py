@@ -62,17 +62,6 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(where) and fs.getFileStatus(where).isDirectory()
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Estimated size of everything a plan reads, from the statistics of its leaves; runs nothing."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def spread_small(df: DataFrame, bytes_per_task: int = 16 << 20) -> DataFrame:
-    """Deal the rows of a small input to all cores before repeated passes over it.
-
-    A few small files make a few tasks, however many cores there are. An input
-    with enough bytes for every core is already split and comes back untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if input_bytes(df) < cores * bytes_per_task else df
+def dealt(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows placed and sorted by their values: the same partitions whatever the input files and the cluster."""
+    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)

@@ -47,7 +47,7 @@ _U = np.uint64
 SIMILARITY = (4, 5)
 LEAST_WORDS = 5
 #: Cells of the table of word counts; a word is frequent if its cell has this many times the mean.
-CELLS, FREQUENT = 1 << 18, 8
+CELLS, FREQUENT = 1 << 20, 16
 #: Prefix entries that leave a task at a time; text bytes per shard; fewest shards.
 CHUNK, SHARD_BYTES, LEAST_SHARDS = 1_500_000, 24 << 20, 16
 #: Largest group that is searched for pairs, and that meets in one task.
@@ -73,17 +73,13 @@ def word_counts(docs: DataFrame, cells: int = CELLS) -> np.ndarray:
         for batch in batches:
             for part in slices(batch):
                 total += np.bincount(_cell(_words(part.column("text"))[3], cells), minlength=cells)
-        pieces = np.split(total, parts)
-        small = [p.astype(np.uint32) if p.max() < 1 << 32 else p for p in pieces]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(parts), pa.int32()), pa.array([p.tobytes() for p in small], pa.binary())], names=["part", "counts"]
-        )
+        packed = [pa.compress(p.tobytes(), codec="zstd", asbytes=True) for p in np.split(total, parts)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(packed, pa.binary())], names=["part", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(cells // parts, np.int64)
         for v in table.column("counts"):
-            data = v.as_buffer()
-            total += np.frombuffer(data, np.int64 if len(data) == 8 * len(total) else np.uint32).astype(np.int64)
+            total += np.frombuffer(pa.decompress(v.as_buffer(), 8 * len(total), codec="zstd"), np.int64)
         return pa.table({"part": table.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     counted = map_arrow(docs.select("text"), count, "part int, counts binary")
@@ -114,22 +110,33 @@ def least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 class LineSets:
-    """The sets of the lines of one slice: distinct words in order of rarity, as 64-bit tokens."""
+    """The sets of the lines of one slice: distinct words in order of rarity.
+
+    A token is a word's rarity class (8 bits) before 40 bits of its hash.
+    """
 
     def __init__(self, column: pa.Array, classes: np.ndarray):
         data, offsets, start, hashes = _words(column)
         begin, _, first = W.line_spans(data, offsets)
         line = np.searchsorted(begin, start, side="right") - 1
-        token = classes[_cell(hashes, len(classes))].astype(_U) << _U(56) | hashes >> _U(8)
-        order = np.lexsort((token, line))
-        line, token = line[order], token[order]
-        new = np.ones(len(line), bool)
-        new[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
-        line, token = line[new], token[new]
-        size = np.bincount(line, minlength=len(begin))
+        enough = np.bincount(line, minlength=len(begin)) >= LEAST_WORDS
+        taken = enough[line]
+        line = (np.cumsum(enough) - 1)[line[taken]]
+        token = classes[_cell(hashes[taken], len(classes))].astype(_U) << _U(40) | hashes[taken] >> _U(24)
+        if enough.sum() <= 1 << 16:  # both fit one integer, which sorts fastest
+            both = np.sort(line.astype(_U) << _U(48) | token)
+            both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
+            line, token = (both >> _U(48)).astype(np.int64), both & _U((1 << 48) - 1)
+        else:
+            order = np.lexsort((token, line))
+            line, token = line[order], token[order]
+            new = np.ones(len(line), bool)
+            new[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
+            line, token = line[new], token[new]
+        size = np.bincount(line, minlength=int(enough.sum()))
         large = size >= LEAST_WORDS
         self.token = token[large[line]]
-        self.number = np.flatnonzero(large)  # among all lines of the slice
+        self.number = np.flatnonzero(enough)[large]  # among all lines of the slice
         self.size = size[large]
         self.head = np.cumsum(self.size) - self.size
         row = np.repeat(np.arange(len(first) - 1), np.diff(first))[self.number]
@@ -148,7 +155,7 @@ class LineSets:
         at = W.ranges(head, length)
         of = np.repeat(np.arange(len(chosen)), length)
         position = at - np.repeat(head, length)
-        rare = (self.token[at] >> _U(56)) < _U(frequent)
+        rare = (self.token[at] >> _U(40)) < _U(frequent)
         sets, keys, positions = [of[rare]], [W.mixed(self.token[at[rare]])], [position[rare]]
         few = length - np.bincount(of[rare], minlength=len(chosen))  # frequent words in the prefix
         triple_set, triples, triple_position = [], [], []
@@ -246,26 +253,22 @@ def possible(a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarr
 
 def _paired(a: dict[str, np.ndarray], head: np.ndarray, size: np.ndarray) -> np.ndarray:
     """True for entries that have a possible partner in their group; groups over ``BLOCK`` count as all true."""
-    live = np.zeros(len(a["key"]), bool)
+    live = np.repeat(size > BLOCK, size)
     left = np.repeat(size - 1, size) - W.ranges(np.zeros(len(size), np.int64), size)  # entries behind in the group
-    small = np.repeat(size <= 256, size)
-    at = np.flatnonzero(small & (left > 0))
-    step = 1
-    while len(at):
+    at, step = np.flatnonzero((left > 0) & ~live), 1
+    while len(at) and step < 64:
         hit = at[possible(a, at, at + step)]
         live[hit] = live[hit + step] = True
         step += 1
         at = at[left[at] >= step]
-    for h, n in zip(head[size > 256].tolist(), size[size > 256].tolist()):
-        if n > BLOCK:
-            live[h : h + n] = True
-            continue
-        for i in range(h, h + n - 1):
-            j = np.arange(i + 1, h + n)
-            hit = j[possible(a, np.full(len(j), i), j)]
-            if len(hit):
-                live[i] = True
-                live[hit] = True
+        at = at[~(live[at] & live[at + step])]
+    # what is still alone in a larger group is held against all of it
+    alone = np.flatnonzero(~live & np.repeat(size > 64, size))
+    of = np.repeat(np.arange(len(size)), size)[alone]
+    for i, g in zip(alone.tolist(), of.tolist()):
+        others = np.arange(head[g], head[g] + size[g])
+        others = others[others != i]
+        live[i] = possible(a, np.full(len(others), i), others).any()
     return live
 
 
@@ -344,12 +347,14 @@ class _Seen:
     """The earlier lines of a group."""
 
     def __init__(self) -> None:
+        self.words: dict[bytes, bytes] = {}  # one object per word, which the lines of a group largely share
         self.sets: list[frozenset] = []
         self.sizes: dict[int, list[int]] = {}
 
-    def hold(self, words: frozenset) -> bool:
+    def hold(self, line: bytes) -> bool:
         """Whether an earlier line is similar; the line counts as earlier from now on."""
         a, b = SIMILARITY
+        words = frozenset([self.words.setdefault(w, w) for w in line.split()])
         n = len(words)
         found = False
         for size in range(-(-a * n // b), b * n // a + 1):
@@ -371,13 +376,30 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if g != group:
                 group, seen, place = g, _Seen(), None
             before, place = place, (i, line, ref)
-            if before != place and seen.hold(frozenset(data.split())):
+            if before != place and seen.hold(data):
                 rows.append((i, ref, line))
         columns = list(zip(*rows)) or [()] * 3
         kinds = (pa.int64(), pa.int64(), pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["id", "ref", "line"])
 
 
+def joined_groups(rows: DataFrame) -> DataFrame:
+    """(set, groups) from (group, set), with groups that overlap joined, so that a set is in few.
+
+    A group takes the smallest name that any of its members meets elsewhere. Members of one
+    group still meet, and close variants of one line, whose groups differ by a member or
+    two, meet in one place instead of ten. Where that would gather too many, groups keep
+    their own names.
+    """
+    by_set = rows.groupBy("set").agg(F.collect_set("group").alias("groups"), F.min("group").alias("home"))
+    members = by_set.select("set", "home", F.explode("groups").alias("group"))
+    groups = members.groupBy("group").agg(F.min("home").alias("joined"), F.count(F.lit(1)).alias("n"))
+    totals = groups.groupBy("joined").agg(F.sum("n").alias("total"))
+    name = F.when(F.col("total") <= 8 * BLOCK, F.col("joined")).otherwise(F.col("group"))
+    named = groups.join(totals, "joined").select("group", name.alias("name"))
+    return members.join(named, "group").groupBy("set").agg(F.collect_set("name").alias("groups"))
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """__id, __ref and ``__removed``: the numbers of the lines that go, from 0. Stored."""
     ship(docs.sparkSession)
@@ -389,7 +411,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     met = map_arrow(rows, lambda b: _emitted(b, classes, frequent, shards), f"shard int, {columns}")
     schema = "group bigint, set bigint, id bigint, ref bigint, line int, gone boolean"
     settled = stored(met.groupBy("shard").applyInArrow(lambda t: _shard(t, shards), schema), "line-sets")
-    groups = settled.filter("group is not null").groupBy("set").agg(F.collect_set("group").alias("groups"))
+    groups = joined_groups(settled.filter("group is not null").select("group", "set"))
     firsts = settled.filter("not gone").select("set", "id", "ref", "line")
     asked = (
         firsts.join(groups, "set").groupBy(F.col("id").alias("__id"), F.col("ref").alias("__ref"))

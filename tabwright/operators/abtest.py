@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import unit_hash
 from tabwright.functions.distributions import check_alternative, normal_quantile, t_critical, t_p_value, z_p_value
+from tabwright.operators.joins import null_safe_join
 from tabwright.operators.quantiles import quantile_table
 from tabwright.operators.ranking import hashed_rank
 
@@ -39,10 +40,13 @@ def moments(
 
 
 def arm_statistics(df: DataFrame, metric: str, by: Sequence[str]) -> DataFrame:
-    """Mean, population std, count and exact median for each group of ``by`` (test and arm)."""
+    """Mean, population std, count and exact median for each group of ``by`` (test and arm).
+
+    Null keys are groups too; a group without any value has a null median.
+    """
     stats = df.groupBy(*by).agg(F.avg(metric).alias("mean"), F.stddev_pop(metric).alias("std"), F.count(metric).alias("count"))
     medians = quantile_table(df, [metric], [0.5], by).withColumnRenamed(f"{metric}_q50", "median")
-    return stats.join(medians, list(by))
+    return null_safe_join(stats, medians, list(by), "left")
 
 
 def welch(m: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def run_tests(
             F.max(F.when(F.col(arm) == control, F.col(f"{metric}_q50"))).alias("control_median"),
             F.max(F.when(F.col(arm) == treatment, F.col(f"{metric}_q50"))).alias("treatment_median"),
         )
-        tested = tested.join(sides, list(by), "left")
+        tested = null_safe_join(tested, sides, list(by), "left")
     return tested
 
 

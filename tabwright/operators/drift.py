@@ -1,7 +1,10 @@
 """Distribution drift between a reference and a current table.
 
 Rows shrink to counts per (column, value) before anything is sorted, so a value
-held by a third of all rows is one row from then on. Distances are exact.
+held by a third of all rows is one row from then on. Distances are exact, and are
+taken over the values that are there; missing ones (null, NaN) are counted per side.
+A column that has values on one side only counts as drifted: its distances are 1.
+Without values on both sides they are 0.
 """
 
 from __future__ import annotations
@@ -20,18 +23,36 @@ MIN_STD = 0.001
 
 
 def value_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
-    """(column, value, n_ref, n_cur) over both tables."""
+    """(column, value, n_ref, n_cur) over both tables; the missing are one value, null."""
 
     def side(df: DataFrame, is_ref: int) -> DataFrame:
-        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(dtype).alias("value")) for c in columns])
+        cells = {c: F.col(c).cast(dtype) for c in columns}
+        if dtype == "double":
+            cells = {c: F.nanvl(v, F.lit(None)) for c, v in cells.items()}
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in cells.items()])
         return df.select(F.inline(pairs), F.lit(is_ref).alias("_ref"))
 
-    both = side(ref, 1).unionByName(side(cur, 0)).filter(F.col("value").isNotNull())
-    if dtype == "double":
-        both = both.filter(~F.isnan("value"))
+    both = side(ref, 1).unionByName(side(cur, 0))
     return both.groupBy("column", "value").agg(F.sum("_ref").alias("n_ref"), F.sum(1 - F.col("_ref")).alias("n_cur"))
 
 
+def missing_shares(counts: DataFrame) -> DataFrame:
+    """(column, missing_ref, missing_cur, sides) from value counts; ``sides`` is how many sides have any value."""
+    def side(n: str) -> tuple[Column, Column]:
+        gone = F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col(n))), F.lit(0))
+        share = F.coalesce(F.try_divide(gone.cast("double"), F.sum(n)), F.lit(1.0))
+        return share, (F.sum(n) > gone).cast("int")
+
+    (ref, has_ref), (cur, has_cur) = side("n_ref"), side("n_cur")
+    return counts.groupBy("column").agg(ref.alias("missing_ref"), cur.alias("missing_cur"), (has_ref + has_cur).alias("sides"))
+
+
+def _of_all(missing: DataFrame, found: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``found`` for every column, with the named distances settled where a side is empty."""
+    settled = [F.when(F.col("sides") == 2, F.col(n)).otherwise(F.col("sides").cast("double")).alias(n) for n in names]
+    return missing.join(found, "column", "left").select("column", *settled)
+
+
 def _safe_log_ratio(p: Column, m: Column) -> Column:
     return F.when((p > 0) & (m > 0), p * F.log2(F.try_divide(p, m))).otherwise(F.lit(0.0))
 
@@ -115,33 +136,47 @@ def counted_edges(counts: DataFrame, ref: DataFrame, columns: Sequence[str], bin
 def numeric_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """(column, ks, wasserstein, psi) of numeric columns, from one pass over each table."""
     counts = cut(value_counts(ref, cur, columns, "double"))
-    psi = stability_index(binned_counts(counts, counted_edges(counts, ref, columns, bins)))
-    return distances(counts).join(psi, "column", "left")
+    return _numeric(counts, ref, columns, bins)
+
+
+def _numeric(counts: DataFrame, ref: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+    present = counts.filter("value is not null")
+    psi = stability_index(binned_counts(present, counted_edges(present, ref, columns, bins)))
+    found = distances(present).join(psi, "column", "left")
+    return _of_all(missing_shares(counts), found, ["ks", "wasserstein", "psi"])
 
 
 def categorical_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, jensen_shannon, psi) of categorical columns; each value is a bin."""
-    counts = cut(value_counts(ref, cur, columns, "string"))
-    psi = stability_index(counts.withColumnRenamed("value", "bin"))
-    return jensen_shannon(counts).join(psi, "column")
+    return _categorical(cut(value_counts(ref, cur, columns, "string")))
+
+
+def _categorical(counts: DataFrame) -> DataFrame:
+    present = counts.filter("value is not null")
+    psi = stability_index(present.withColumnRenamed("value", "bin"))
+    return _of_all(missing_shares(counts), jensen_shannon(present).join(psi, "column"), ["jensen_shannon", "psi"])
 
 
 def drift_report(
     ref: DataFrame, cur: DataFrame, numerical: Sequence[str], categorical: Sequence[str], threshold: float = 0.1
 ) -> DataFrame:
-    """(column, kind, method, score, drifted): Wasserstein for numbers, Jensen-Shannon for labels."""
+    """(column, kind, method, score, drifted): Wasserstein for numbers, Jensen-Shannon for labels.
+
+    A column also counts as drifted if the share of its missing values changed by the threshold;
+    its score is then that change, if it is the larger.
+    """
     parts = []
-    if numerical:
-        parts.append(
-            numeric_drift(ref, cur, numerical).select(
-                "column", F.lit("numerical").alias("kind"), F.lit("wasserstein").alias("method"), F.col("wasserstein").alias("score")
-            )
-        )
-    if categorical:
+    for kind, method, columns, dtype in (
+        ("numerical", "wasserstein", numerical, "double"), ("categorical", "jensen_shannon", categorical, "string"),
+    ):
+        if not columns:
+            continue
+        counts = cut(value_counts(ref, cur, columns, dtype))
+        found = _numeric(counts, ref, columns, 10) if kind == "numerical" else _categorical(counts)
+        change = missing_shares(counts).select("column", F.abs(F.col("missing_ref") - F.col("missing_cur")).alias("_change"))
+        score = F.when(F.col("_change") >= threshold, F.greatest(method, "_change")).otherwise(F.col(method))
         parts.append(
-            categorical_drift(ref, cur, categorical).select(
-                "column", F.lit("categorical").alias("kind"), F.lit("jensen_shannon").alias("method"), F.col("jensen_shannon").alias("score")
-            )
+            found.join(change, "column").select("column", F.lit(kind).alias("kind"), F.lit(method).alias("method"), score.alias("score"))
         )
     report = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return report.withColumn("drifted", F.col("score") >= threshold)

@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from tabwright.lineage import cut
 from tabwright.operators.quantiles import quantile_literals
 from tabwright.operators.split import sample_rows
+from tabwright.shipping import ship
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 MAX_BACKGROUND = 1000
-MAX_GRID = 10_000
 
 
 def _literal_rows(rows: list[list[float]]) -> Column:
@@ -62,10 +62,15 @@ def _long(df: DataFrame, key: str, features: Sequence[str], value: Callable[[str
 def linear_attributions(
     df: DataFrame, key: str, coefficients: Mapping[str, float], intercept: float, background: DataFrame
 ) -> DataFrame:
-    """Exact attributions of a linear model: coefficient times distance from the background mean."""
+    """Exact attributions of a linear model: coefficient times distance from the background mean.
+
+    Only the means of the background are needed, so it may have any size.
+    """
     features = list(coefficients)
-    rows = background_rows(background, features)
-    means = {f: float(np.mean([r[i] for r in rows])) for i, f in enumerate(features)}
+    row = background.agg(*[F.avg(F.col(f).cast("double")).alias(f"m{i}") for i, f in enumerate(features)]).first()
+    if any(row[f"m{i}"] is None for i in range(len(features))):
+        raise ValueError("Explainer needs background rows")
+    means = {f: row[f"m{i}"] for i, f in enumerate(features)}
     base = intercept + sum(coefficients[f] * means[f] for f in features)
     return _long(
         df.withColumn("base_value", F.lit(base)), key, features, F.col,
@@ -87,6 +92,8 @@ def attributions(
     """
     rows = background_rows(background, features)
     m, d = permutations or len(rows), len(features)
+    if m % len(rows):
+        raise ValueError(f"Use a multiple of the {len(rows)} background rows as permutations, so that all rows share one base")
     own = [F.col(f).cast("double").alias(f"_x_{j}") for j, f in enumerate(features)]
     noise = [F.struct(F.xxhash64(key, "_perm", F.lit(seed), F.lit(j)).alias("h"), F.lit(j).alias("j")) for j in range(d)]
     start = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(len(rows)))
@@ -135,23 +142,26 @@ def global_importance(attributed: DataFrame) -> DataFrame:
 # -- partial dependence -----------------------------------------------------------
 
 
-def grid_points(df: DataFrame, feature: str, resolution: int = 100, low: float = 0.05, high: float = 0.95) -> list[float]:
-    """All values of a feature with few of them, else even steps between two quantiles."""
-    seen = df.select(F.col(feature).cast("double").alias("v")).filter("v is not null").distinct().limit(resolution + 1).collect()
-    if len(seen) <= resolution:
-        return sorted(r["v"] for r in seen)
+def grid_values(df: DataFrame, feature: str, most: int = 10_000) -> list[float]:
+    """All values of a feature, such as a code; refused beyond ``most``, where ``grid_steps`` is meant."""
+    seen = df.select(F.col(feature).cast("double").alias("v")).filter("v is not null").distinct().limit(most + 1).collect()
+    if len(seen) > most:
+        raise ValueError(f"{feature} has more than {most} values; use grid_steps")
+    return sorted(r["v"] for r in seen)
+
+
+def grid_steps(df: DataFrame, feature: str, steps: int = 100, low: float = 0.05, high: float = 0.95) -> list[float]:
+    """Even steps between two quantiles of a feature."""
     lo, hi = quantile_literals(df, [feature], [low, high])[feature]
-    return [float(x) for x in np.linspace(lo, hi, resolution)]
+    return [float(x) for x in np.linspace(lo, hi, steps)]
 
 
 def _on_grid(df: DataFrame, grid: Mapping[str, Sequence[float]]) -> DataFrame:
     """Every row once per grid point, with the grid values in place of its own."""
-    points = [[]]
-    for values in grid.values():
-        points = [[*p, float(v)] for p in points for v in values]
-    if len(points) > MAX_GRID:
-        raise ValueError(f"Grid holds more than {MAX_GRID} points")
-    widened = df.withColumn("_point", F.explode(_literal_rows(points)))
+    for i, values in enumerate(grid.values()):
+        df = df.withColumn(f"_point_{i}", F.explode(F.element_at(_literal_rows([[float(v) for v in values]]), 1)))
+    point = F.array(*[F.col(f"_point_{i}") for i in range(len(grid))])
+    widened = df.withColumn("_point", point).drop(*[f"_point_{i}" for i in range(len(grid))])
     return widened.withColumns({f: F.element_at("_point", i + 1) for i, f in enumerate(grid)})
 
 
@@ -292,6 +302,7 @@ def local_surrogates(
     width2 = 0.75 * 0.75 * d
     own = [F.col(f).cast("double").alias(f"_x_{j}") for j, f in enumerate(features)]
     rows = _spread(df, key, F.xxhash64(key, F.lit(seed)).alias("_seed"), *own)
+    ship(rows.sparkSession)
     perturbed = rows.mapInPandas(_perturb([bins[f] for f in features], list(features), samples, key), _perturbed_schema(rows, features))
     scored = scorer(perturbed)
     z = [F.col(f"_z_{j}") for j in range(d)]

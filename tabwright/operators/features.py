@@ -41,15 +41,12 @@ def _labels(df: DataFrame, columns: list[str], estimates: dict[str, int], max_in
     short = [c for c in columns if estimates[c] <= max_inline]
     fitted: dict[str, Labels] = {}
     if short:
-        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in short])
-        room = 2 * max_inline * len(short)
-        seen = df.select(F.inline(pairs)).filter("value is not null").distinct().limit(room + 1).collect()
-        if len(seen) > room:
-            short = []
+        # Sorted by Spark in the column's own type, as the long vocabularies are.
+        room = 2 * max_inline
+        seen = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in short]).first()
         for c in short:
-            values = [r["value"] for r in seen if r["column"] == c]
-            typed = sorted(values) if dtypes[c] == "string" else sorted((_typed(v, dtypes[c]) for v in values))
-            fitted[c] = Labels(dtypes[c], inline={v: i for i, v in enumerate(typed)})
+            if len(seen[c]) <= room:
+                fitted[c] = Labels(dtypes[c], inline={v: i for i, v in enumerate(seen[c])})
     for c in columns:
         if c not in fitted:
             distinct = df.select(F.lit(0).alias("_all"), F.col(c).alias("value")).filter("value is not null").distinct()
@@ -58,14 +55,6 @@ def _labels(df: DataFrame, columns: list[str], estimates: dict[str, int], max_in
     return fitted
 
 
-def _typed(text: str, dtype: str):
-    if dtype in ("int", "bigint", "smallint", "tinyint"):
-        return int(text)
-    if dtype in ("double", "float"):
-        return float(text)
-    return text == "true" if dtype == "boolean" else text
-
-
 def _code(column: str, labels: Labels, unseen: str, default: int | None = None) -> Column:
     value = F.col(column)
     if not labels.inline:
@@ -202,7 +191,7 @@ class FeatureState:
 
     def label_table(self, spark: SparkSession) -> DataFrame:
         """(column, dtype, value, code) of all encoders."""
-        rows = [(c, x.dtype, str(v), code) for c, x in self.labels.items() if x.table is None for v, code in x.inline.items()]
+        rows = [(c, x.dtype, _text(v), code) for c, x in self.labels.items() if x.table is None for v, code in x.inline.items()]
         out = spark.createDataFrame(rows, "column string, dtype string, value string, code bigint")
         for c, x in self.labels.items():
             if x.table is not None:
@@ -226,18 +215,22 @@ class FeatureState:
         sizes = labels.groupBy("column", "dtype").count().collect()
         for r in sizes:
             c, dtype = r["column"], r["dtype"]
-            mine = labels.filter(F.col("column") == c).select("value", "code")
-            if r["count"] <= 2 * max_inline * max(1, len(roles.categorical)):
-                known = sorted(mine.collect(), key=lambda x: x["code"])
-                state.labels[c] = Labels(dtype, inline={_typed(k["value"], dtype): k["code"] for k in known})
+            mine = labels.filter(F.col("column") == c).select(F.col("value").cast(dtype), "code")
+            if r["count"] <= 2 * max_inline:
+                state.labels[c] = Labels(dtype, inline={k["value"]: k["code"] for k in mine.orderBy("code").collect()})
             else:
-                state.labels[c] = Labels(dtype, table=mine.select(F.col("value").cast(dtype), "code"))
+                state.labels[c] = Labels(dtype, table=mine)
         state.feature_names = list(spark.read.parquet(f"{path}/features").first()["names"])
         if exists(spark, f"{path}/group_mean"):
             state.group_mean = spark.read.parquet(f"{path}/group_mean")
         return state
 
 
+def _text(value) -> str:
+    """A label as text that Spark casts back to the same value."""
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
 def small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a state table if a count says it is small; otherwise let Spark choose the join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tabwright.lineage import cut
 from tabwright.operators.split import sample_rows
+from tabwright.shipping import ship_active
 
 SLACK = 1e-9
 
@@ -37,6 +38,8 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def _assign(pivots: np.ndarray):
+    ship_active()
+
     @F.pandas_udf("cell int, distance double")
     def assign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for vectors in batches:

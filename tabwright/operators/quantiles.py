@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.lineage import cut
+from tabwright.operators.joins import null_safe_join
 from tabwright.operators.ranking import running_totals
 
 MAX_COUNTERS = 1_000_000
@@ -52,7 +53,7 @@ def _by_ranks(counts: DataFrame, groups: list[str], probs: Sequence[float]) -> D
         .withColumn("_low", F.floor("_at"))
     )
     # A value owns the zero-based positions [upto_n - n, upto_n - 1]; the upper neighbour is itself or ``next``.
-    hit = ranked.join(F.broadcast(targets) if _few_groups(sizes) else targets, groups).filter(
+    hit = null_safe_join(ranked, targets, groups, broadcast=_few_groups(sizes)).filter(
         (F.col("_low") >= F.col("upto_n") - F.col("n")) & (F.col("_low") < F.col("upto_n"))
     )
     upper = F.when(F.col("_low") + 1 < F.col("upto_n"), F.col("_v")).otherwise(F.coalesce("next", "_v"))

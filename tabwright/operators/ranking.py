@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.lineage import cut
+from tabwright.operators.joins import null_safe_join
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -42,9 +43,13 @@ def _rank(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str)
 def hashed_rank(
     df: DataFrame, unit: Column, tie: Sequence[str], by: Sequence[str] = (), name: str = "rank", buckets: int | None = None
 ) -> DataFrame:
-    """Rank by a number that is uniform in [0, 1), within ``by``; a huge group spreads over all buckets."""
+    """Rank by a number that is uniform in [0, 1), within ``by``; a huge group spreads over all buckets.
+
+    Rows without a number come first.
+    """
     n = buckets or bucket_count(df)
-    df = df.withColumn("_unit", unit).withColumn("_bucket", F.floor(F.col("_unit") * n).cast("int"))
+    bucket = F.coalesce(F.floor(F.col("_unit") * n).cast("int"), F.lit(-1))
+    df = df.withColumn("_unit", unit).withColumn("_bucket", bucket)
     return _rank(df, by, [F.col("_unit"), *map(F.col, tie)], name).drop("_unit")
 
 
@@ -59,7 +64,9 @@ def ordered_rank(df: DataFrame, key: str, name: str = "rank", buckets: int | Non
     if len(splits) < 3:
         bucketed = df.withColumn("_bucket", F.lit(0.0))
     else:
-        bucketed = bucketizer.transform(df)
+        bucketed = bucketizer.transform(df.filter("_number is not null")).unionByName(
+            df.filter("_number is null").withColumn("_bucket", F.lit(-1.0))
+        )
     return _rank(bucketed.drop("_number"), (), [F.col(key)], name)
 
 
@@ -88,11 +95,8 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, totals: Sequenc
         *[F.sum(t).over(to_here).alias(f"_r_{t}") for t in totals],
         F.lead(order).over(inside).alias("_next_inside"),
     )
-    return (
-        running.join(shift, [*by, "_part"])
-        .select(
-            *df.columns,
-            *[(F.col(f"_r_{t}") + F.col(f"_b_{t}")).alias(f"upto_{t}") for t in totals],
-            F.coalesce("_next_inside", "_next_first").alias("next"),
-        )
+    return null_safe_join(running, shift, [*by, "_part"]).select(
+        *df.columns,
+        *[(F.col(f"_r_{t}") + F.col(f"_b_{t}")).alias(f"upto_{t}") for t in totals],
+        F.coalesce("_next_inside", "_next_first").alias("next"),
     )

@@ -6,6 +6,7 @@ does not change with the partitioning.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -105,11 +106,14 @@ def _is_time(df: DataFrame, column: str) -> bool:
 
 
 def fold_frames(df: DataFrame, k: int = 5, strategy: str = "kfold") -> list[tuple[DataFrame, DataFrame]]:
-    """(train, test) per fold from a ``fold`` or ``block`` column."""
+    """(train, test) per fold from a ``fold`` or ``block`` column, or from the ``fold_<r>`` columns of all repeats."""
     if strategy not in STRATEGIES:
         raise ValueError(f"Unknown CV strategy: {strategy}")
     if strategy == "timeseries":
         return [(df.filter(F.col("block") <= i), df.filter(F.col("block") == i + 1)) for i in range(k)]
+    if strategy == "repeated":
+        names = sorted((c for c in df.columns if re.fullmatch(r"fold_\d+", c)), key=lambda c: int(c[5:]))
+        return [(df.filter(F.col(c) != i), df.filter(F.col(c) == i)) for c in names for i in range(k)]
     return [(df.filter(F.col("fold") != i), df.filter(F.col("fold") == i)) for i in range(k)]
 
 

@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import prediction_interval, unit_hash
 from tabwright.functions.distributions import t_critical
-from tabwright.lineage import spread_small
+from tabwright.lineage import dealt
 from tabwright.operators.checks import split_by_ranges
 from tabwright.operators.evaluation import as_long, regression_metrics
 from tabwright.operators.features import FeatureState
@@ -35,9 +36,12 @@ DEEPEST = 30  # pyspark.ml refuses deeper trees
 
 
 def _tree_params(params: Mapping) -> dict:
+    """``max_depth`` of None means as deep as trees can be; a deeper one than that is refused."""
     depth = params.get("max_depth")
+    if depth is not None and int(depth) > DEEPEST:
+        raise ValueError(f"max_depth {depth} is more than {DEEPEST}, the deepest that trees can be")
     return {
-        "maxDepth": DEEPEST if depth is None else min(int(depth), DEEPEST),
+        "maxDepth": DEEPEST if depth is None else int(depth),
         "minInstancesPerNode": int(params.get("min_samples_leaf", 1)),
         "maxBins": int(params.get("max_bins", 32)),
         "seed": int(params.get("seed", 42)),
@@ -78,10 +82,17 @@ ZOO: dict[str, Callable] = {
 
 
 def fit(df: DataFrame, model: str, features: Sequence[str], target: str, **params) -> PipelineModel:
-    """Fit one model of the zoo; rows with a missing feature or target are left out."""
+    """Fit one model of the zoo; rows with a missing feature or target are left out.
+
+    Bagging draws per partition. ``partitions`` deals the rows by their values to that many,
+    so that the fitted forest is the same whatever the files and the cluster; without it the
+    rows stay where they were read, which spares a shuffle.
+    """
     if model not in ZOO:
         raise ValueError(f"Unknown model: {model}")
-    rows = spread_small(df.select(*features, F.col(target).cast("double").alias(target)).na.drop())
+    rows = df.select(*features, F.col(target).cast("double").alias(target)).na.drop()
+    if params.get("partitions"):
+        rows = dealt(rows, int(params["partitions"]))
     if model == "ridge":
         n, std = rows.agg(F.count(F.lit(1)), F.stddev_pop(target)).first()
         params = {**params, "n": n, "label_std": std}
@@ -107,11 +118,26 @@ def feature_importance(model: PipelineModel | None, top: int | None = None) -> l
     return ranked[:top] if top else ranked
 
 
-def train(df: DataFrame, features: Sequence[str], target: str, model: str = "rf", **params) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the ``train`` rows of a table with a ``split`` column; metrics of every split as one table."""
+def train(
+    df: DataFrame, features: Sequence[str], target: str, model: str = "rf",
+    folds: Sequence[tuple[DataFrame, DataFrame]] | None = None, **params,
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit on the ``train`` rows of a table with a ``split`` column; metrics of every split as one table.
+
+    With ``folds`` of the training rows, their mean held-out error is estimated first; it comes
+    along as ``cv_mae`` on the row of the training split.
+    """
     params = {**(FOREST_DEFAULTS if model == "rf" else {}), **params}
-    fitted = fit(df.filter("split = 'train'"), model, features, target, **params)
-    return fitted, evaluate_splits(predict(fitted, df), target)
+    train_rows = df.filter("split = 'train'")
+    cv_mae = None
+    if folds is not None:
+        scores = cross_validate(train_rows, folds, model, features, target, train_scores=False, **params)
+        cv_mae = scores.filter("metric = 'mae'").agg(F.avg("value")).first()[0]
+    fitted = fit(train_rows, model, features, target, **params)
+    metrics = evaluate_splits(predict(fitted, df), target)
+    if folds is not None:
+        metrics = metrics.withColumn("cv_mae", F.when(F.col("split") == "train", F.lit(cv_mae)))
+    return fitted, metrics
 
 
 def evaluate_splits(predicted: DataFrame, target: str, pred: str = PREDICTION) -> DataFrame:
@@ -317,17 +343,25 @@ def tune(
     try:
         train_rows, val_rows = data.filter("split = 'train'"), data.filter("split = 'val'")
 
-        def one(params: dict) -> tuple[PipelineModel, float]:
+        errors: dict[int, float] = {}
+        kept: list[tuple[float, int, PipelineModel]] = []  # the best model so far, no other
+        lock = Lock()
+
+        def judge(trial: int, params: dict) -> None:
             fitted = fit(train_rows, model, features, target, **params)
-            return fitted, regression_metrics(predict(fitted, val_rows), target, PREDICTION).first()["mae"]
+            mae = regression_metrics(predict(fitted, val_rows), target, PREDICTION).first()["mae"]
+            with lock:
+                errors[trial] = mae
+                if not kept or (mae, trial) < kept[0][:2]:
+                    kept[:] = [(mae, trial, fitted)]
 
-        results = _in_threads([lambda p=p: one(p) for p in settings], parallelism)
+        _in_threads([lambda i=i, p=p: judge(i, p) for i, p in enumerate(settings)], parallelism)
     finally:
         data.unpersist()
-    best = min(range(trials), key=lambda i: results[i][1])
-    rows = [(i, {k: str(v) for k, v in s.items()}, results[i][1], i == best) for i, s in enumerate(settings)]
+    best = kept[0][1]
+    rows = [(i, {k: str(v) for k, v in s.items()}, errors[i], i == best) for i, s in enumerate(settings)]
     table = df.sparkSession.createDataFrame(rows, "trial int, params map<string,string>, val_mae double, best boolean")
-    return results[best][0], table
+    return kept[0][2], table
 
 
 # -- scoring --------------------------------------------------------------------

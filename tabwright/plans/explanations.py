@@ -68,7 +68,7 @@ EXPLAINED = ["season", "weathersit", *b.NUMERICAL]
 
 def _small_forest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.PipelineModel]:
     rows = b.demand(spark, sf_dir).select(KEY, *EXPLAINED, "cnt")
-    return rows, training.fit(rows, "rf", EXPLAINED, "cnt", n_estimators=5, max_depth=5)
+    return rows, training.fit(rows, "rf", EXPLAINED, "cnt", n_estimators=5, max_depth=5, partitions=8)
 
 
 def _forest_attributions(rows: DataFrame, model: training.PipelineModel, background: int = 4) -> DataFrame:
@@ -148,7 +148,7 @@ def partial_dependence(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def individual_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = b.demand(spark, sf_dir)
-    return explain.individual_curves(rows, KEY, "season", explain.grid_points(rows, "season"), closed_form_scorer)
+    return explain.individual_curves(rows, KEY, "season", explain.grid_values(rows, "season"), closed_form_scorer)
 
 
 _JOINT = f"""j as (select g, h, avg({_scorer_sql('g', 'h')}) as v from demand, {_grid_sql('g', TEMP_GRID)}, {_grid_sql('h', SEASON_GRID)} group by g, h),

@@ -71,6 +71,32 @@ def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_columns(drift.drift_report(ref, cur, NUMERIC, b.CATEGORICAL), "score")
 
 
+_HOLES = f"""{b.SIDES}, ref_h as (select temp as gone, null::double as never, temp as half, cnt as kept from ref),
+cur_h as (select null::double as gone, null::double as never, case when o_orderkey % 2 = 0 then temp end as half, cnt as kept from cur)"""
+
+
+@query(
+    "drift_with_missing_values",
+    f"""with {_HOLES}, a as (select 'gone' as c, count(gone) / count(*) as r from ref_h union all select 'never', count(never) / count(*) from ref_h
+  union all select 'half', count(half) / count(*) from ref_h union all select 'kept', count(kept) / count(*) from ref_h),
+z as (select 'gone' as c, count(gone) / count(*) as q from cur_h union all select 'never', count(never) / count(*) from cur_h
+  union all select 'half', count(half) / count(*) from cur_h union all select 'kept', count(kept) / count(*) from cur_h)
+select c as "column", round(1 - r, 6) + 0.0 as missing_ref, round(1 - q, 6) + 0.0 as missing_cur, case when r = 0 and q = 0 then 0.0 when r = 0 or q = 0 then 1.0 end as ks_if_empty
+from a join z using (c)""",
+)
+def drift_with_missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing shares per side; a column empty on one side is as far off as can be, on both sides not at all."""
+    ref, cur = b.reference_and_current(spark, sf_dir)
+    none = F.lit(None).cast("double")
+    ref = ref.select(F.col("temp").alias("gone"), none.alias("never"), F.col("temp").alias("half"), F.col("cnt").alias("kept"))
+    cur = cur.select(none.alias("gone"), none.alias("never"), F.when(F.col("o_orderkey") % 2 == 0, F.col("temp")).alias("half"), F.col("cnt").alias("kept"))
+    columns = ["gone", "never", "half", "kept"]
+    missing = drift.missing_shares(drift.value_counts(ref, cur, columns, "double"))
+    found = drift.numeric_drift(ref, cur, columns).join(missing, "column")
+    picked = found.select("column", "missing_ref", "missing_cur", F.when(F.col("sides") < 2, F.col("ks")).alias("ks_if_empty"))
+    return rounded_columns(picked, "missing_ref", "missing_cur")
+
+
 _ALARM = f"""{REPORT}, summary as (select coalesce(avg(score) filter (score >= 0.1), 0) as drift_score,
   coalesce(array_to_string(list_sort(list("column") filter (score >= 0.1)), ','), '') as drifted_columns from report)"""
 

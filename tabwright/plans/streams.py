@@ -129,17 +129,8 @@ def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = operators.reference_bins(reference, edges)
     bins = operators.windowed_bins(_stream(spark, sf_dir, "events"), "ts", edges)
     counts, path = new_path(spark, "bins"), new_path(spark, "alerts")
-    schema = operators.window_alerts(operators.window_drift(spark.createDataFrame([], bins.schema), shares)).schema
-
-    def raised(rows: DataFrame) -> DataFrame:
-        """All bins of the windows this batch touched, judged again."""
-        touched = rows.select("window_start").distinct()
-        since = touched.agg(F.min("window_start")).first()[0]
-        known = sinks.latest_of(spark, counts, bins.schema, ["window_start", "column", "bin"]).filter(F.col("window_start") >= F.lit(since))
-        return operators.window_alerts(operators.window_drift(known.join(touched, "window_start", "left_semi"), shares), 0.005)
-
-    sinks.run_into(bins, {counts: lambda rows: rows, path: raised}, new_path(spark, "alerts-progress"), "update").awaitTermination()
-    return rounded_columns(_plain_time(sinks.latest_of(spark, path, schema, ["ts", "metric"]), "ts"), "value")
+    operators.run_drift_alerts(bins, shares, counts, path, new_path(spark, "alerts-progress"), 0.005).awaitTermination()
+    return rounded_columns(_plain_time(operators.current_alerts(spark, path, bins, shares), "ts"), "value").withColumn("threshold", F.lit(0.005))
 
 
 @query(

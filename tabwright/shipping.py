@@ -26,3 +26,10 @@ def ship(spark: SparkSession) -> None:
     path = Path(tempfile.mkdtemp(prefix="ship-")) / f"{here.name}.zip"  # read by the driver alone, as long as it runs
     path.write_bytes(packed.getvalue())
     spark.sparkContext.addPyFile(str(path))
+
+
+def ship_active() -> None:
+    """``ship`` for the session at hand, if there is one: for column functions, which see no table."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)

@@ -10,14 +10,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tabwright.operators import abtest
 from tabwright.operators.checks import missing_flag
 from tabwright.operators.drift import FLOOR, bin_of
 from tabwright.operators.features import FeatureState
 from tabwright.operators.training import score
+from tabwright.streaming import sinks
 
 
 def with_event_time(df: DataFrame, ts: str, watermark: str = "1 day") -> DataFrame:
@@ -95,10 +97,13 @@ def window_drift(bins: DataFrame, reference: DataFrame) -> DataFrame:
     return joined.groupBy("window_start", "column").agg(F.sum((q - p) * F.log(q / p)).alias("psi"))
 
 
-def window_alerts(drift: DataFrame, threshold: float = 0.1) -> DataFrame:
-    """Alert rows for windows that drifted beyond the threshold."""
+def window_verdicts(drift: DataFrame, threshold: float = 0.1) -> DataFrame:
+    """A row for every judged window, with the alert it would raise and whether it does.
+
+    Quiet windows have rows too, so that a later verdict can clear an earlier alert.
+    """
     text = F.format_string("Data drift score %.3f exceeds threshold %.3f", F.col("psi"), F.lit(threshold))
-    return drift.filter(F.col("psi") > threshold).select(
+    return drift.select(
         F.col("window_start").alias("ts"),
         F.lit("Data Drift Detected").alias("subject"),
         text.alias("message"),
@@ -106,9 +111,43 @@ def window_alerts(drift: DataFrame, threshold: float = 0.1) -> DataFrame:
         F.col("column").alias("metric"),
         F.col("psi").alias("value"),
         F.lit(threshold).alias("threshold"),
+        (F.col("psi") > threshold).alias("alarm"),
     )
 
 
+def window_alerts(drift: DataFrame, threshold: float = 0.1) -> DataFrame:
+    """Alert rows for windows that drifted beyond the threshold."""
+    return window_verdicts(drift, threshold).filter("alarm").drop("alarm")
+
+
+def run_drift_alerts(
+    bins: DataFrame, reference: DataFrame, counts_path: str, verdicts_path: str, checkpoint: str, threshold: float = 0.1, every: str | None = None
+) -> StreamingQuery:
+    """Start a query that keeps the bin counts of a stream and a verdict on every window they touch.
+
+    ``bins`` come from ``windowed_bins`` in update mode. Counts are filed by the day of their
+    window, and a batch reads back the days it touches, not the whole history. Read the alerts
+    with ``current_alerts``.
+    """
+    spark = bins.sparkSession
+    day = F.to_date("window_start")
+
+    def judged(rows: DataFrame) -> DataFrame:
+        touched = rows.select("window_start").distinct()
+        days = [r[0] for r in touched.select(day).distinct().collect()]
+        filed = sinks.latest_of(spark, counts_path, bins.withColumn("day", day).schema, ["window_start", "column", "bin"], F.col("day").isin(days))
+        return window_verdicts(window_drift(filed.drop("day").join(touched, "window_start", "left_semi"), reference), threshold)
+
+    outputs = {counts_path: lambda rows: rows.withColumn("day", day), verdicts_path: judged}
+    return sinks.run_into(bins, outputs, checkpoint, "update", every, {counts_path: ["day"]})
+
+
+def current_alerts(spark: SparkSession, verdicts_path: str, bins: DataFrame, reference: DataFrame) -> DataFrame:
+    """Alerts whose newest verdict still stands."""
+    schema = window_verdicts(window_drift(spark.createDataFrame([], bins.schema), reference)).schema
+    return sinks.latest_of(spark, verdicts_path, schema, ["ts", "metric"]).filter("alarm").drop("alarm")
+
+
 def look_moments(df: DataFrame, ts: str, metric: str, by: Sequence[str], length: str = "1 day", watermark: str = "1 day", **arms) -> DataFrame:
     """Moments of both arms per (test, look); ``sequential_state`` accumulates them."""
     timed = with_event_time(df, ts, watermark).withColumn("window", _window(ts, length, None))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
@@ -40,9 +40,10 @@ def _trigger(every: str | None) -> Mapping:
 
 
 def run_into(
-    stream: DataFrame, outputs: Mapping[str, Callable[[DataFrame], DataFrame]], checkpoint: str, mode: str = "append", every: str | None = None
+    stream: DataFrame, outputs: Mapping[str, Callable[[DataFrame], DataFrame]], checkpoint: str, mode: str = "append", every: str | None = None,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> StreamingQuery:
-    """Start a query that writes each micro-batch, transformed, to one or more table paths.
+    """Start a query that writes each micro-batch, transformed, to one or more table paths, in that order.
 
     Without ``every`` the query takes what is there and ends; wait with ``awaitTermination``.
     """
@@ -52,7 +53,8 @@ def run_into(
             rows.persist()
         try:
             for path, transform in outputs.items():
-                transform(rows).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+                columns = list((partition_by or {}).get(path, ()))
+                transform(rows).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}", partitionBy=columns)
         finally:
             if len(outputs) > 1:
                 rows.unpersist()
@@ -73,10 +75,11 @@ def table_of(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(StructType([*kept, StructField(BATCH, LongType())])).parquet(path)
 
 
-def latest_of(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
-    """Newest row per key of an update-mode result."""
+def latest_of(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], only: Column | None = None) -> DataFrame:
+    """Newest row per key of an update-mode result; ``only`` picks folders or keys before."""
     values = [f.name for f in schema.fields if f.name not in (*keys, BATCH)]
     newest = F.max_by(F.struct(*values), BATCH).alias("v")
-    return table_of(spark, path, schema).groupBy(*keys).agg(newest).select(*keys, "v.*")
+    rows = table_of(spark, path, schema)
+    return (rows if only is None else rows.filter(only)).groupBy(*keys).agg(newest).select(*keys, "v.*")
 
 

@@ -43,3 +43,27 @@ def test_beta_edges():
     assert d.beta_cdf(2, 3, 0) == 0 and d.beta_cdf(2, 3, 1) == 1
     assert d.beta_cdf(1, 1, 0.3) == pytest.approx(0.3)
     assert math.isclose(d.gamma_upper(1, 2), math.exp(-2))
+
+
+@pytest.mark.parametrize(
+    "df, p, q",
+    [(1, 0.7048327646991335, 12.706204736432095), (30, 0.6207230048851, 2.0422724563012373), (1e6, 0.6170751874724, 1.9599663569),
+     (1e10, 0.6170750774630, 1.9599639847772), (1e12, 0.6170750774520835, 1.9599639845424)],
+)
+def test_student_t_keeps_its_digits_for_any_degrees_of_freedom(df, p, q):
+    assert d.t_two_sided(0.5, df) == pytest.approx(p, abs=1e-10)
+    assert d.t_quantile(0.975, df) == pytest.approx(q, abs=1e-9)
+
+
+def test_the_two_ways_meet(monkeypatch):
+    for t in (0.1, 1.0, 3.0, 6.0):
+        near = d.t_two_sided(t, 2e6)
+        monkeypatch.setattr(d, "NEARLY_NORMAL", 1e9)
+        assert d.t_two_sided(t, 2e6) == pytest.approx(near, abs=1e-9)
+        monkeypatch.undo()
+
+
+def test_arrays_equal_single_values():
+    ts, dfs = [0.0, -1.5, 2.0, 40.0], [3.0, 10.0, 1e7, 5.0]
+    assert d.t_two_sided(ts, dfs).tolist() == [d.t_two_sided(t, v) for t, v in zip(ts, dfs)]
+    assert d.t_quantile(0.9, dfs).tolist() == pytest.approx([d.t_quantile(0.9, v) for v in dfs])

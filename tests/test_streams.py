@@ -44,3 +44,23 @@ def test_redeliveries_are_logged_once(spark, sf_dir, tmp_path):
     out = str(tmp_path / "log")
     sinks.append_to(live, out, str(tmp_path / "progress")).awaitTermination()
     assert spark.read.parquet(out).count() == b.table(spark, sf_dir, "events").count()
+
+
+def test_an_alert_clears_when_its_window_recovers(spark, tmp_path):
+    rows = spark.range(400).select((F.timestamp_seconds(F.col("id") % 100 + 86400)).alias("ts"), (F.col("id") % 10).cast("double").alias("value"))
+    edges = {"value": [2.0, 5.0, 8.0]}
+    reference = operators.reference_bins(rows, edges)
+    source = str(tmp_path / "source")
+    counts, verdicts, progress = (str(tmp_path / n) for n in ("counts", "verdicts", "progress"))
+
+    def run(batch):
+        batch.coalesce(1).write.mode("append").parquet(source)
+        bins = operators.windowed_bins(sinks.read_stream(spark, source), "ts", edges, watermark="60 days")
+        operators.run_drift_alerts(bins, reference, counts, verdicts, progress).awaitTermination()
+        return operators.current_alerts(spark, verdicts, bins, reference).collect()
+
+    raised = run(rows.filter("value > 8"))
+    assert [r.metric for r in raised] == ["value"] and raised[0].value > 0.1
+    assert run(rows.filter("value <= 8")) == []
+    later = rows.filter("value > 8").withColumn("ts", F.col("ts") + F.expr("interval 3 days"))
+    assert [str(r.ts)[:10] for r in run(later)] == ["1970-01-05"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import rounded
 from tabwright.operators import abtest, evaluation, split
+from tabwright.operators.quantiles import quantiles
 from tabwright.plans import bindings as b
 from tabwright.plans.catalog import query
 
@@ -63,6 +64,38 @@ def arm_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_columns(abtest.arm_statistics(b.arms(spark, sf_dir), "value", ["segment", "arm"]), "mean", "std", "median")
 
 
+_UNKNOWN = f"""{b.ARMS}, u as (select case when user_id % 3 > 0 then segment end as segment, arm, case when segment <> 'purchase' or user_id % 2 = 0 then value end as value from arms)"""
+
+
+def _unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arms of which some rows have no segment, and one arm of one segment no value."""
+    segment, user = F.col("segment"), F.col("user_id")
+    return b.arms(spark, sf_dir).select(
+        F.when(user % 3 > 0, segment).alias("segment"), "arm", F.when((segment != "purchase") | (user % 2 == 0), F.col("value")).alias("value")
+    )
+
+
+@query(
+    "medians_with_unknown_segment",
+    f"""with {_UNKNOWN} select segment, arm, round(avg(value), 6) + 0.0 as mean, round(stddev_pop(value), 6) + 0.0 as std,
+  count(value) as "count", round(median(value), 6) + 0.0 as median from u group by segment, arm""",
+)
+def medians_with_unknown_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unknown segment is a group like any other, and so is one without values."""
+    return rounded_columns(abtest.arm_statistics(_unknown(spark, sf_dir), "value", ["segment", "arm"]), "mean", "std", "median")
+
+
+@query(
+    "quantiles_by_ranks",
+    f"""with {_UNKNOWN}, q as (select segment, unnest([0.1, 0.5, 0.9]) as prob, unnest(quantile_cont(value, [0.1, 0.5, 0.9])) as value from u group by segment)
+select segment, prob::double as prob, round(value, 6) + 0.0 as value from q""",
+)
+def quantiles_by_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way for columns with too many values for one task, on a table with an unknown group."""
+    found = quantiles(_unknown(spark, sf_dir), ["value"], [0.1, 0.5, 0.9], ["segment"], max_counters=0)
+    return rounded_columns(found.select("segment", "prob", "value"), "value")
+
+
 @query(
     "welch_tests",
     f"""with {b.ARMS}, {moments_sql('arms', 'value', 'segment')}, {WELCH}

@@ -115,6 +115,19 @@ def label_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.label_table(spark).select("column", "value", "code")
 
 
+@query(
+    "decimal_label_codes",
+    """select o_orderkey, dense_rank() over (order by rate) - 1 as rate_code from
+  (select l_orderkey as o_orderkey, max(cast(l_discount * 150 as decimal(9, 2))) as rate from lineitem group by l_orderkey)""",
+)
+def decimal_label_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of decimal labels follow their size, not their text."""
+    rate = F.max((F.col("l_discount") * 150).cast("decimal(9,2)")).alias("rate")
+    rows = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(rate)
+    state = FeatureState.fit(rows, b.Roles(numerical=(), categorical=("rate",), target="o_orderkey"))
+    return state.apply(rows).select("o_orderkey", F.col("rate").cast("bigint").alias("rate_code"))
+
+
 @query(
     "long_vocabulary_codes",
     "select c_custkey, dense_rank() over (order by c_name) - 1 as c_name from customer",

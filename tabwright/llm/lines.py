@@ -9,10 +9,11 @@ repeat by nature and stay.
    whatever the corpus. A word's order is its cell's count, then its hash: one order
    for all lines, rarest first, which is what the filters need to be exact.
 2. *Equal sets* are settled by hash: only the first line of each stays in the join.
-3. *Prefixes.* Similar sets share a word among the first ``n - ceil(0.8 n) + 1`` of each.
-   Lines meet by those words. Where the first shared word is a frequent one, the sets
-   share two more words shortly behind it, and lines meet by such triples instead, so
-   that no common word gathers all lines that hold it.
+3. *Prefixes.* Similar sets share a word among the first ``n - ceil(0.8 n) + 1`` of each,
+   and two or three words if the prefix is one or two words longer. Lines meet by their
+   first shared word where it is rare; where it is more frequent, by it and the next; and
+   where it is very frequent, by it and the next two. So the number that meets by chance
+   stays about ``MEETING``, and no common word gathers all lines that hold it.
 4. *Filters.* Of lines that meet, a pair stays only if lengths, positions and a parity
    signature (its differing bits never exceed the differing words) allow the similarity.
    What leaves is the membership of the groups in which pairs are left, not the pairs;
@@ -28,6 +29,7 @@ then the line number. A null id comes before all others; a null text is one empt
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -46,8 +48,8 @@ _U = np.uint64
 #: Jaccard similarity as a fraction, and words a line needs to take part.
 SIMILARITY = (4, 5)
 LEAST_WORDS = 5
-#: Cells of the table of word counts; a word is frequent if its cell has this many times the mean.
-CELLS, FREQUENT = 1 << 20, 16
+#: Cells of the table of word counts; lines that should meet by one key at most, short of being similar.
+CELLS, MEETING = 1 << 21, 512
 #: Prefix entries that leave a task at a time; text bytes per shard; fewest shards.
 CHUNK, SHARD_BYTES, LEAST_SHARDS = 1_500_000, 24 << 20, 16
 #: Largest group that is searched for pairs, and that meets in one task.
@@ -90,12 +92,13 @@ def word_counts(docs: DataFrame, cells: int = CELLS) -> np.ndarray:
     return out.ravel()
 
 
-def rarity_classes(counts: np.ndarray) -> tuple[np.ndarray, int]:
-    """A class from 0 to 255 per cell, rising with its count, and the first class that is frequent."""
-    def of(x: np.ndarray) -> np.ndarray:
-        return np.minimum(np.floor(4 * np.log2(x + 1.0)), 255).astype(np.uint8)
+def rarity_classes(counts: np.ndarray) -> tuple[np.ndarray, tuple[int, int]]:
+    """A class from 0 to 255 per cell, rising with its count, and the first classes that meet by two and by three words."""
+    def of(x: np.ndarray | float) -> np.ndarray:
+        return np.minimum(np.floor(4 * np.log2(np.asarray(x) + 1.0)), 255).astype(np.uint8)
 
-    return of(counts), int(of(np.array([FREQUENT * max(counts.sum() / len(counts), 1.0)]))[0]) + 1
+    lines = max(1.0, counts.sum() / 32)
+    return of(counts), (int(of(MEETING)) + 1, int(of(max(MEETING, math.sqrt(MEETING * lines)))) + 1)
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -144,52 +147,62 @@ class LineSets:
         if len(self.size):
             self.key = W.mixed(np.add.reduceat(W.mixed(self.token), self.head) + self.size.astype(_U))
             self.check = W.mixed(np.add.reduceat(W.mixed(self.token ^ _U(0xA5A5A5A55A5A5A5A)), self.head))
-            self.parity = np.bitwise_xor.reduceat(_U(1) << (self.token & _U(63)), self.head)
+            bit, quarter = _U(1) << (self.token & _U(63)), self.token >> _U(6) & _U(3)
+            self.parity = np.stack([np.bitwise_xor.reduceat(np.where(quarter == _U(k), bit, _U(0)), self.head) for k in range(4)])
         else:
-            self.key = self.check = self.parity = np.zeros(0, _U)
+            self.key = self.check = np.zeros(0, _U)
+            self.parity = np.zeros((4, 0), _U)
 
-    def prefixes(self, chosen: np.ndarray, frequent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For the chosen sets: (set, meeting key, position) of every prefix word or triple."""
+    def prefixes(self, chosen: np.ndarray, frequent: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For the chosen sets: (set, meeting key, position) of every prefix word, pair and triple that they meet by."""
         size, head = self.size[chosen], self.head[chosen]
         length = prefix_length(size)
         at = W.ranges(head, length)
         of = np.repeat(np.arange(len(chosen)), length)
-        position = at - np.repeat(head, length)
-        rare = (self.token[at] >> _U(40)) < _U(frequent)
-        sets, keys, positions = [of[rare]], [W.mixed(self.token[at[rare]])], [position[rare]]
-        few = length - np.bincount(of[rare], minlength=len(chosen))  # frequent words in the prefix
-        triple_set, triples, triple_position = [], [], []
-        for k in np.flatnonzero(few).tolist():
-            p, n, h = int(length[k]), int(size[k]), int(head[k])
-            first = p - int(few[k])
-            reach = self.token[h : h + min(n, p + 2)].tolist()
-            for i in range(first, p):
-                for j, m in combinations(range(i + 1, len(reach)), 2):
-                    triple_set.append(k)
-                    triples.append((reach[i], reach[j], reach[m]))
-                    triple_position.append(i)
-        if triples:
-            t = np.array(triples, _U)
-            sets.append(np.array(triple_set))
-            keys.append(W.mixed((t[:, 0] * _U(0x9FB21C651E98DF25) + t[:, 1]) * _U(0xD6E8FEB86659FD93) + t[:, 2]))
-            positions.append(np.array(triple_position))
-        return chosen[np.concatenate(sets)], np.concatenate(keys), np.concatenate(positions)
+        first = self.token[at] >> _U(40)
+        # a word, with how many of the words behind it in the prefix that is one longer, or two
+        behind = [np.minimum(length + more, size)[of] - (at - head[of]) - 1 for more in (1, 2)]
+        rare = first < _U(frequent[0])
+        words = [(of[rare], at[rare], W.mixed(self.token[at[rare]]))]
+        step = _U(0x9FB21C651E98DF25)
+        two = ~rare & (first < _U(frequent[1]))
+        a = np.repeat(at[two], behind[0][two])
+        b = W.ranges(at[two] + 1, behind[0][two])
+        words.append((np.repeat(of[two], behind[0][two]), a, W.mixed(self.token[a] * step + self.token[b])))
+        three = first >= _U(frequent[1])
+        a = np.repeat(at[three], behind[1][three])
+        b = W.ranges(at[three] + 1, behind[1][three])
+        left = np.repeat(at[three] + behind[1][three], behind[1][three]) - b  # words behind the second
+        a, b, c = np.repeat(a, left), np.repeat(b, left), W.ranges(b + 1, left)
+        owner = np.repeat(np.repeat(of[three], behind[1][three]), left)
+        words.append((owner, a, W.mixed((self.token[a] * step + self.token[b]) * _U(0xD6E8FEB86659FD93) + self.token[c])))
+        owner, at, key = (np.concatenate([w[k] for w in words]) for k in range(3))
+        return chosen[owner], key, at - head[owner]
 
 
 _PLACES = {"set": _U, "check": _U, "id": np.int64, "ref": np.int64, "line": np.int32}
-_ENTRIES = {"key": _U, "set": _U, "parity": _U, "size": np.int32, "position": np.int32}
-_COLUMNS = [f"c{k}" for k in range(5)]
+_ENTRIES = {"key": np.uint32, "set": _U, "parity": _U, "size": np.uint32, "position": np.uint32}
+_COLUMNS = [f"c{k}" for k in range(7)]
+#: Words from which a signature has 128 bits and 256 bits; of so many words, shorter ones tell nothing.
+LONG, LONGER = 96, 192
 
 
-def _sharded(kind: int, shards: int, by: np.ndarray, columns: list[np.ndarray], rows: list[list]) -> None:
+def _sharded(
+    kind: int, shards: int, by: np.ndarray, columns: list[np.ndarray], rows: list[list], only: list[np.ndarray | None] | None = None
+) -> None:
+    """Append a row of packed columns per shard; ``only`` tells which entries a column is sent for."""
+    only = only or [None] * len(columns)
     shard = (by % _U(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
     for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
         if a < b:
+            at = order[a:b]
             rows[0].append(kind * shards + s)
-            for out, column in zip(rows[1:], columns):
-                out.append(column[order[a:b]].tobytes())
+            for out, column, sent in zip(rows[1:], columns, only):
+                out.append(column[at if sent is None else at[sent[at]]].tobytes())
+            for out in rows[1 + len(columns) :]:
+                out.append(b"")
 
 
 def _firsts(set_: np.ndarray, check: np.ndarray, ids: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,23 +215,30 @@ def _firsts(set_: np.ndarray, check: np.ndarray, ids: np.ndarray, line: np.ndarr
     return order, new, (i != i[head]) | (n != n[head])
 
 
-def _emitted(batches: Iterator[pa.RecordBatch], classes: np.ndarray, frequent: int, shards: int) -> Iterator[pa.RecordBatch]:
+def _emitted(batches: Iterator[pa.RecordBatch], classes: np.ndarray, frequent: tuple[int, int], shards: int) -> Iterator[pa.RecordBatch]:
     """Places of sets (kind 0) and prefix entries (kind 1), in arrays per shard; one set each per task's chunk."""
     held: list[tuple] = []
     entries: list[tuple] = []
 
     def flush() -> pa.RecordBatch:
-        rows: list[list] = [[] for _ in range(6)]
+        rows: list[list] = [[] for _ in range(1 + len(_COLUMNS))]
         places = [np.concatenate([h[k] for h in held]).astype(d) for k, d in enumerate(_PLACES.values())]
         _sharded(0, shards, places[0], places, rows)
-        found = [np.concatenate([e[k] for e in entries]).astype(d) for k, d in enumerate(_ENTRIES.values())]
+        found = [np.concatenate([e[k] for e in entries], axis=-1) for k in range(5)]
         # a set that several slices of this chunk hold is entered once
         order = np.lexsort((found[1], found[0]))
         k, s = found[0][order], found[1][order]
         new = np.ones(len(k), bool)
         new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
-        found = [f[order[new]] for f in found]
-        _sharded(1, shards, found[0], found, rows)
+        found = [f[..., order[new]] for f in found]
+        # the 256 bits fold into 128 and 64: what is sent beyond 64 are the words that unfold them
+        wide = found[2]
+        long, longer = found[3] >= LONG, found[3] >= LONGER
+        folded = wide[0] ^ wide[1] ^ wide[2] ^ wide[3]
+        more = [wide[1] ^ wide[3], np.ascontiguousarray(wide[2:].T)]
+        # Within a shard half a key tells keys apart well enough: a mix-up only brings lines together that need not meet.
+        columns = [(found[0] >> _U(32)).astype(np.uint32), found[1], folded, *map(_narrow, found[3:]), *more]
+        _sharded(1, shards, found[0], columns, rows, [None] * 5 + [long, longer])
         held.clear()
         entries.clear()
         return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])], names=["shard", *_COLUMNS])
@@ -232,23 +252,54 @@ def _emitted(batches: Iterator[pa.RecordBatch], classes: np.ndarray, frequent: i
             held.append((sets.key, sets.check, ids[sets.row], refs[sets.row], sets.line))
             _, once = np.unique(sets.key, return_index=True)
             of, key, position = sets.prefixes(once, frequent)
-            entries.append((key, sets.key[of], sets.parity[of], sets.size[of], position))
+            entries.append((key, sets.key[of], sets.parity[:, of], sets.size[of], position))
             if sum(len(e[0]) for e in entries) >= CHUNK:
                 yield flush()
     if held:
         yield flush()
 
 
-def _bits(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x).astype(np.int64)
+#: Neighbours in a group that entries are held against before the rest of it.
+NEAR = 16
+
+
+def _narrow(a: np.ndarray) -> np.ndarray:
+    return a.astype(np.uint16 if not len(a) or a.max() < 1 << 16 else np.uint32)
+
+
+def _read(column: pa.ChunkedArray, dtype, counts: list[int]) -> np.ndarray:
+    """The values of packed arrays of ``counts`` values each, which ``_narrow`` may have made."""
+    parts = []
+    for v, n in zip(column, counts):
+        data = v.as_buffer()
+        parts.append(np.frombuffer(data, np.uint16 if len(data) == 2 * n else dtype))
+    return np.concatenate(parts)
+
+
+def _near(parity: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """A first, cheap look at the parities of entries i and j: lets every similar pair through."""
+    a, b = SIMILARITY
+    differ = np.bitwise_count(parity[i] ^ parity[j]).astype(np.int32)
+    return differ * (a + b) <= (size[i] + size[j]) * (b - a)
 
 
 def possible(a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether entries i and j, which share a key, may be similar by length, position and parity."""
-    n, m = a["size"][i].astype(np.int64), a["size"][j].astype(np.int64)
+    n, m = a["size"][i], a["size"][j]
     need = least_overlap(n, m)
     reach = np.minimum(n - a["position"][i], m - a["position"][j])  # the shared word and what lies behind it
-    return (need <= np.minimum(n, m)) & (reach >= need) & (_bits(a["parity"][i] ^ a["parity"][j]) <= n + m - 2 * need)
+    most = n + m - 2 * need
+    fits = (need <= np.minimum(n, m)) & (reach >= need) & (np.bitwise_count(a["parity"][i] ^ a["parity"][j]) <= most)
+    both = np.flatnonzero(fits & (np.minimum(n, m) >= LONG))
+    if len(both):
+        i, j, most = i[both], j[both], most[both]
+        differ = np.bitwise_count(a["half"][i] ^ a["half"][j]) + np.bitwise_count(a["parity"][i] ^ a["half"][i] ^ a["parity"][j] ^ a["half"][j])
+        far = differ > most
+        at = np.flatnonzero(~far & (np.minimum(a["size"][i], a["size"][j]) >= LONGER))
+        if len(at):
+            far[at] = np.bitwise_count(a["quarters"][i[at]] ^ a["quarters"][j[at]]).sum(axis=1, dtype=np.int64) > most[at]
+        fits[both[far]] = False
+    return fits
 
 
 def _paired(a: dict[str, np.ndarray], head: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -256,19 +307,23 @@ def _paired(a: dict[str, np.ndarray], head: np.ndarray, size: np.ndarray) -> np.
     live = np.repeat(size > BLOCK, size)
     left = np.repeat(size - 1, size) - W.ranges(np.zeros(len(size), np.int64), size)  # entries behind in the group
     at, step = np.flatnonzero((left > 0) & ~live), 1
-    while len(at) and step < 64:
-        hit = at[possible(a, at, at + step)]
+    while len(at) and step <= NEAR:
+        open_ = at[~(live[at] & live[at + step])]
+        open_ = open_[_near(a["parity"], a["size"], open_, open_ + step)]
+        hit = open_[possible(a, open_, open_ + step)]
         live[hit] = live[hit + step] = True
         step += 1
         at = at[left[at] >= step]
-        at = at[~(live[at] & live[at + step])]
-    # what is still alone in a larger group is held against all of it
-    alone = np.flatnonzero(~live & np.repeat(size > 64, size))
-    of = np.repeat(np.arange(len(size)), size)[alone]
-    for i, g in zip(alone.tolist(), of.tolist()):
-        others = np.arange(head[g], head[g] + size[g])
-        others = others[others != i]
-        live[i] = possible(a, np.full(len(others), i), others).any()
+    # what is still alone in a larger group is held against all of it, some rows of a matrix at a time
+    for h, n in zip(head[size > NEAR + 1].tolist(), size[size > NEAR + 1].tolist()):
+        alone = h + np.flatnonzero(~live[h : h + n])
+        every = np.arange(h, h + n)
+        for k in range(0, len(alone), max(1, 1_000_000 // n)):
+            some = alone[k : k + max(1, 1_000_000 // n)]
+            i, j = np.nonzero(_near(a["parity"], a["size"], some[:, None], every[None, :]))
+            i, j = some[i], every[j]
+            i, j = i[i != j], j[i != j]
+            live[i[possible(a, i, j)]] = True
     return live
 
 
@@ -276,7 +331,8 @@ def _shard(table: pa.Table, shards: int) -> pa.Table:
     """Kind 0: the first place of each set (``gone`` false), later ones (true). Kind 1: (group, set) where pairs may be."""
     kind = table.column("shard")[0].as_py() // shards
     fields = _ENTRIES if kind else _PLACES
-    a = {n: np.concatenate([np.frombuffer(v.as_buffer(), d) for v in table.column(c)]) for c, (n, d) in zip(_COLUMNS, fields.items())}
+    counts = [len(v.as_buffer()) // 8 for v in table.column(_COLUMNS[1])]  # the second column is of 8 bytes in both kinds
+    a = {n: _read(table.column(c), d, counts) for c, (n, d) in zip(_COLUMNS, fields.items())}
     if kind == 0:
         order, new, repeat = _firsts(a["set"], a["check"], a["id"], a["line"])
         at = np.concatenate([order[new], order[repeat]])
@@ -285,8 +341,15 @@ def _shard(table: pa.Table, shards: int) -> pa.Table:
         return pa.table({
             "group": nothing, "set": a["set"][at].view(np.int64), "id": a["id"][at], "ref": a["ref"][at], "line": a["line"][at], "gone": gone,
         })
+    long, longer = a["size"] >= LONG, a["size"] >= LONGER
+    a["half"] = np.zeros(len(long), _U)
+    a["half"][long] = np.concatenate([np.frombuffer(v.as_buffer(), _U) for v in table.column("c5")])
+    a["quarters"] = np.zeros((len(long), 4), _U)
+    two = np.concatenate([np.frombuffer(v.as_buffer(), _U) for v in table.column("c6")]).reshape(-1, 2)
+    half = a["half"][longer]
+    a["quarters"][longer] = np.column_stack([a["parity"][longer] ^ half ^ two[:, 0], half ^ two[:, 1], two[:, 0], two[:, 1]])
     order = np.lexsort((a["set"], a["key"]))
-    a = {n: v[order] for n, v in a.items()}
+    a = {n: v[order].astype(np.int64 if n in ("size", "position") else v.dtype) for n, v in a.items()}
     new = np.ones(len(order), bool)
     new[1:] = (a["key"][1:] != a["key"][:-1]) | (a["set"][1:] != a["set"][:-1])
     a = {n: v[new] for n, v in a.items()}
@@ -393,11 +456,11 @@ def joined_groups(rows: DataFrame) -> DataFrame:
     """
     by_set = rows.groupBy("set").agg(F.collect_set("group").alias("groups"), F.min("group").alias("home"))
     members = by_set.select("set", "home", F.explode("groups").alias("group"))
-    groups = members.groupBy("group").agg(F.min("home").alias("joined"), F.count(F.lit(1)).alias("n"))
-    totals = groups.groupBy("joined").agg(F.sum("n").alias("total"))
-    name = F.when(F.col("total") <= 8 * BLOCK, F.col("joined")).otherwise(F.col("group"))
-    named = groups.join(totals, "joined").select("group", name.alias("name"))
-    return members.join(named, "group").groupBy("set").agg(F.collect_set("name").alias("groups"))
+    names = members.groupBy("group").agg(F.min("home").alias("joined"))
+    named = stored(members.join(names, "group").groupBy("joined", "set").agg(F.collect_set("group").alias("groups")), "line-groups")
+    sizes = named.groupBy("joined").agg(F.count(F.lit(1)).alias("n"))
+    own = F.when(F.col("n") <= 2 * BLOCK, F.array("joined")).otherwise(F.col("groups"))
+    return named.join(sizes, "joined").groupBy("set").agg(F.array_distinct(F.flatten(F.collect_list(own))).alias("groups"))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:

@@ -66,13 +66,31 @@ def test_equal_to_brute_force(documents, monkeypatch, chunk, block):
     check(documents(texts), list(enumerate(texts)))
 
 
-@pytest.mark.parametrize("frequent", [0, 1])
-def test_only_frequent_words(documents, monkeypatch, frequent):
-    monkeypatch.setattr(lines, "FREQUENT", frequent)
+@pytest.mark.parametrize("meeting", [0, 3, 40])
+def test_only_frequent_words(documents, monkeypatch, meeting):
+    monkeypatch.setattr(lines, "MEETING", meeting)
+    monkeypatch.setattr(lines, "NEAR", 2)
     texts = corpus(2, [f"v{i}" for i in range(25)], None)
     check(documents(texts), list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("long,longer", [(96, 192), (6, 12)])
+def test_long_lines(documents, monkeypatch, long, longer):
+    monkeypatch.setattr(lines, "LONG", long)
+    monkeypatch.setattr(lines, "LONGER", longer)
+    rng = random.Random(7)
+    texts = corpus(5, [f"v{i}" for i in range(200)], None)
+    for n in (80, 110, 150, 185, 215, 300, 450):
+        base = [f"l{n}-{i}" for i in range(n)]
+        for changed in (0, 0.05, 0.09, 0.1, 0.11, 0.12, 0.2, 0.5):
+            line = list(base)
+            for k in rng.sample(range(n), round(changed * n)):
+                line[k] = f"c{rng.randrange(10**9)}"
+            texts.append(" ".join(line))
+    rng.shuffle(texts)
+    check(documents(texts), list(enumerate(texts)))
+
+
 def test_hot_line_with_variants(documents):
     base = [f"w{i}" for i in range(30)]
     texts = [" ".join(base)] * 150

@@ -51,7 +51,7 @@ LEAST_WORDS = 5
 #: Cells of the table of word counts; lines that should meet by one key at most, short of being similar.
 CELLS, MEETING = 1 << 21, 512
 #: Prefix entries that leave a task at a time; text bytes per shard; fewest shards.
-CHUNK, SHARD_BYTES, LEAST_SHARDS = 1_500_000, 24 << 20, 16
+CHUNK, SHARD_BYTES, LEAST_SHARDS = 700_000, 16 << 20, 16
 #: Largest group that is searched for pairs, and that meets in one task.
 BLOCK = 8_000
 
@@ -473,7 +473,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     columns = ", ".join(f"{c} binary" for c in _COLUMNS)
     met = map_arrow(rows, lambda b: _emitted(b, classes, frequent, shards), f"shard int, {columns}")
     schema = "group bigint, set bigint, id bigint, ref bigint, line int, gone boolean"
-    settled = stored(met.groupBy("shard").applyInArrow(lambda t: _shard(t, shards), schema), "line-sets")
+    settled = stored(met.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(lambda t: _shard(t, shards), schema), "line-sets")
     groups = joined_groups(settled.filter("group is not null").select("group", "set"))
     firsts = settled.filter("not gone").select("set", "id", "ref", "line")
     asked = (

@@ -31,7 +31,8 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op2_ngram_jaccard_join"] = r"""
-with recursive d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') as ws from documents),
+with recursive d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') as ws from documents),
 g as (
   select distinct doc_id, array_to_string(ws[s:s + 4], ' ') as g from (select doc_id, ws, unnest(range(1, len(ws) - 3)) as s from d where len(ws) >= 5)
   union all select doc_id, array_to_string(ws, ' ') from d where len(ws) between 1 and 4
@@ -62,6 +63,29 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.removal_report(read_table(spark, sf_dir, "documents"))
 
 
+SQL["op4_line_dedup"] = r"""
+with l as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as k from documents
+),
+s as (select doc_id, k, line, list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as ws from l),
+e as (select doc_id, k, ws, len(ws) as n from s where len(ws) >= 5),
+t as (select doc_id, k, n, unnest(ws) as w from e),
+f as (select w, count(*) as f from t group by w),
+p as (select doc_id, k, n, w from t join f using (w) qualify row_number() over (partition by doc_id, k order by f, w) <= n - (4 * n + 4) // 5 + 1),
+c as (
+  select distinct a.doc_id, a.k, b.doc_id as earlier, b.k as at from p a join p b using (w)
+  where (b.doc_id, b.k) < (a.doc_id, a.k) and 5 * b.n >= 4 * a.n and 5 * a.n >= 4 * b.n
+),
+r as (
+  select distinct c.doc_id, c.k from c join e a on c.doc_id = a.doc_id and c.k = a.k join e b on c.earlier = b.doc_id and c.at = b.k
+  where 9 * len(list_intersect(a.ws, b.ws)) >= 4 * (a.n + b.n)
+)
+select s.doc_id, count(*) as n_lines, count(r.k) as n_removed,
+       sha256(coalesce(string_agg(line, chr(10) order by s.k) filter (r.k is null), '')) as kept_sha256
+from s left join r on s.doc_id = r.doc_id and s.k = r.k group by s.doc_id
+"""
+
+
 @query
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.held_out_scores(read_table(spark, sf_dir, "documents"))

@@ -43,14 +43,14 @@ from pyspark.sql import functions as F
 
 from tabwright.lineage import new_path
 from tabwright.llm import words as W
-from tabwright.llm.tables import map_arrow, slices
+from tabwright.llm.tables import give_back, map_arrow, slices
 from tabwright.shipping import ship
 
 _U = np.uint64
 BEGIN, END = _U(0xB5AD4ECEDA1CE2A9), _U(0x1B56C4E9A7D3F035)
 _STEP = _U(0x9FB21C651E98DF25)
 #: Training tokens that one task turns into arrays at a time.
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 2_500_000
 #: Text bytes per shard, and fewest shards.
 SHARD_BYTES, LEAST_SHARDS = 24 << 20, 16
 HELD_OUT_OF, HELD_OUT = 7, 2
@@ -92,7 +92,7 @@ def summed(key: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     order = np.argsort(key, kind="stable")
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[first], *(np.add.reduceat(c[order], first) if len(first) else c[:0] for c in columns)
+    return key[first], *(np.add.reduceat(c[order], first, dtype=np.int64) if len(first) else c[:0] for c in columns)
 
 
 def _binary(arrays: list[np.ndarray]) -> pa.Array:
@@ -154,6 +154,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.
     def flush() -> pa.RecordBatch:
         u, w = (np.concatenate([h[k] for h in held]) for k in (0, 1))
         held.clear()
+        give_back()
         key = bigrams(u, w)
         order = np.argsort(key)
         key = key[order]
@@ -195,20 +196,29 @@ def _merge_bigrams(table: pa.Table, folder: str, bits: int) -> pa.Table:
     """Write one shard of bigrams; give (word shard, word sums) and the counts of counts."""
     shard = table.column("shard")[0].as_py()
     u = np.repeat(_joined(table.column("u"), _U), _joined(table.column("n"), np.uint32))
-    w, c = _joined(table.column("w"), _U), _joined(table.column("c"), np.uint32).astype(np.int64)
+    w, c = _joined(table.column("w"), _U), _joined(table.column("c"), np.uint32)
     key = bigrams(u, w)
     order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    count = np.add.reduceat(c[order], first)
-    u, w = u[order[first]], w[order[first]]
-    _write(_file(folder, "bigrams", shard, "key"), key[first])
+    count = np.add.reduceat(c[order], first, dtype=np.int64)
+    key, order = key[first], order[first]
+    u, w = u[order], w[order]
+    del c, order
+    _write(_file(folder, "bigrams", shard, "key"), key)
     _write(_file(folder, "bigrams", shard, "count"), _narrow(count))
-    none, one = np.zeros(len(u), np.int64), np.ones(len(u), np.int64)
-    word, *sums = summed(
-        np.concatenate([w, u]), np.concatenate([count, none]), np.concatenate([one, none]),
-        *(np.concatenate([none, hit.astype(np.int64)]) for hit in (count == 1, count == 2, count > 2)),
-    )
+    del key
+    # each side is summed by itself, which keeps the arrays short; then both are laid over the words of either
+    right, *of_right = summed(w, count, np.ones(len(w), np.int32))
+    left, *of_left = summed(u, *(hit.astype(np.int32) for hit in (count == 1, count == 2, count > 2)))
+    del u, w
+    word = np.union1d(right, left)
+    sums = [np.zeros(len(word), np.int64) for _ in _WORD_COLUMNS]
+    for side, parts, into in ((right, of_right, sums[:2]), (left, of_left, sums[2:])):
+        at = np.searchsorted(word, side)
+        for part, column in zip(parts, into):
+            column[at] = part
+    give_back()
     seen = [int((count == k).sum()) for k in range(1, 5)]
     cuts = np.searchsorted(shard_of(word, bits), np.arange((1 << bits) + 1))
     pieces = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
@@ -265,11 +275,11 @@ def train(docs: DataFrame, folder: str | None = None) -> str:
         docs.select("text"), lambda batches: _count_batches(batches, bits), "shard int, u binary, n binary, w binary, c binary"
     )
     sums = ", ".join(f"{c} binary" for c in _WORD_COLUMNS)
-    by_word = counted.groupBy("shard").applyInArrow(
+    by_word = counted.repartition(1 << bits, "shard").groupBy("shard").applyInArrow(
         lambda table: _merge_bigrams(table, folder, bits), f"shard int, totals string, word binary, {sums}"
     )
     names = ["tokens", "types", "bigrams", *(f"{level}{k}" for level in "bw" for k in range(1, 5))]
-    merged = by_word.groupBy("shard").applyInArrow(lambda table: _merge_words(table, folder), ", ".join(f"{n} long" for n in names))
+    merged = by_word.repartition(1 << bits, "shard").groupBy("shard").applyInArrow(lambda table: _merge_words(table, folder), ", ".join(f"{n} long" for n in names))
     total = merged.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names)).first()
     counts = {level: tuple(total[f"{level}{k}"] for k in range(1, 5)) for level in "bw"}
     Totals(bits, total["tokens"], total["types"], total["bigrams"], counts["b"], counts["w"]).save(folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tabwright.shipping import ship
 
 #: Longest text bytes that one Arrow batch of rows is cut into, so that array code stays small.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +33,23 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = BATCH_BYTES)
         yield batch.slice(begin)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a reused worker would otherwise keep the peak of its last task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` on executors that have this package."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(whole, schema)
 
 
 def by_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: str = "text") -> DataFrame:

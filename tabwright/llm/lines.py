@@ -2,13 +2,13 @@
 
 A line is the set of its distinct words. Of two lines whose Jaccard similarity is
 ``SIMILARITY`` or more, the later one (larger id, or further down) goes; lines are judged
-on the input. Lines of fewer than ``LEAST_WORDS`` distinct words (headings, list marks)
-repeat by nature and stay.
+on the input. Every line that has a word takes part; lines without one stay.
 
 1. *Rarity.* All words are counted in a table of ``CELLS`` cells by hash, of fixed size
    whatever the corpus. A word's order is its cell's count, then its hash: one order
    for all lines, rarest first, which is what the filters need to be exact.
-2. *Equal sets* are settled by hash: only the first line of each stays in the join.
+2. *Equal sets* are settled by hash: only the first line of each stays in the join. Sets
+   of fewer than ``LEAST_JOINED`` words are similar to equal ones only, and end here.
 3. *Prefixes.* Similar sets share a word among the first ``n - ceil(0.8 n) + 1`` of each,
    and two or three words if the prefix is one or two words longer. Lines meet by their
    first shared word where it is rare; where it is more frequent, by it and the next; and
@@ -45,9 +45,9 @@ from tabwright.llm.tables import map_arrow, slices
 from tabwright.shipping import ship
 
 _U = np.uint64
-#: Jaccard similarity as a fraction, and words a line needs to take part.
+#: Jaccard similarity as a fraction, words a line needs to take part, and words from which sets that differ can be similar.
 SIMILARITY = (4, 5)
-LEAST_WORDS = 5
+LEAST_WORDS, LEAST_JOINED = 1, 4
 #: Cells of the table of word counts; lines that should meet by one key at most, short of being similar.
 CELLS, MEETING = 1 << 21, 512
 #: Prefix entries that leave a task at a time; text bytes per shard; fewest shards.
@@ -115,7 +115,8 @@ def least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 class LineSets:
     """The sets of the lines of one slice: distinct words in order of rarity.
 
-    A token is a word's rarity class (8 bits) before 40 bits of its hash.
+    A token is a word's rarity class (8 bits) before 40 bits of its hash. These tell sets
+    apart where there are several; of sets below ``LEAST_JOINED``, whole hashes are checked.
     """
 
     def __init__(self, column: pa.Array, classes: np.ndarray):
@@ -125,7 +126,9 @@ class LineSets:
         enough = np.bincount(line, minlength=len(begin)) >= LEAST_WORDS
         taken = enough[line]
         line = (np.cumsum(enough) - 1)[line[taken]]
-        token = classes[_cell(hashes[taken], len(classes))].astype(_U) << _U(40) | hashes[taken] >> _U(24)
+        hashes = hashes[taken]
+        every = line
+        token = classes[_cell(hashes, len(classes))].astype(_U) << _U(40) | hashes >> _U(24)
         if enough.sum() <= 1 << 16:  # both fit one integer, which sorts fastest
             both = np.sort(line.astype(_U) << _U(48) | token)
             both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
@@ -147,12 +150,26 @@ class LineSets:
         if len(self.size):
             self.key = W.mixed(np.add.reduceat(W.mixed(self.token), self.head) + self.size.astype(_U))
             self.check = W.mixed(np.add.reduceat(W.mixed(self.token ^ _U(0xA5A5A5A55A5A5A5A)), self.head))
+            few = large & (size < LEAST_JOINED)
+            self._check_whole(few[large], every[few[every]], hashes[few[every]])
             bit, quarter = _U(1) << (self.token & _U(63)), self.token >> _U(6) & _U(3)
             self.parity = np.stack([np.bitwise_xor.reduceat(np.where(quarter == _U(k), bit, _U(0)), self.head) for k in range(4)])
         else:
             self.key = self.check = np.zeros(0, _U)
             self.parity = np.zeros((4, 0), _U)
 
+    def _check_whole(self, few: np.ndarray, line: np.ndarray, hashes: np.ndarray) -> None:
+        """Check the sets ``few`` by whole hashes: ``line`` and ``hashes`` are of all their words."""
+        if not len(line):
+            return
+        order = np.lexsort((hashes, line))
+        line, hashes = line[order], hashes[order]
+        new = np.ones(len(line), bool)
+        new[1:] = (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])
+        line, hashes = line[new], hashes[new]
+        head = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+        self.check[few] = W.mixed(np.add.reduceat(W.mixed(hashes ^ _U(0xA5A5A5A55A5A5A5A)), head))
+
     def prefixes(self, chosen: np.ndarray, frequent: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For the chosen sets: (set, meeting key, position) of every prefix word, pair and triple that they meet by."""
         size, head = self.size[chosen], self.head[chosen]
@@ -251,9 +268,10 @@ def _emitted(batches: Iterator[pa.RecordBatch], classes: np.ndarray, frequent: t
             ids, refs = part.column("__id").to_numpy(), part.column("__ref").to_numpy()
             held.append((sets.key, sets.check, ids[sets.row], refs[sets.row], sets.line))
             _, once = np.unique(sets.key, return_index=True)
+            once = once[sets.size[once] >= LEAST_JOINED]
             of, key, position = sets.prefixes(once, frequent)
             entries.append((key, sets.key[of], sets.parity[:, of], sets.size[of], position))
-            if sum(len(e[0]) for e in entries) >= CHUNK:
+            if max(sum(len(e[0]) for e in entries), sum(len(h[0]) for h in held)) >= CHUNK:
                 yield flush()
     if held:
         yield flush()

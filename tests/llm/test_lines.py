@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +127,17 @@ def test_overlaps_and_prefixes_are_the_least_that_suffice():
             got = int(lines.least_overlap(np.int64(n), np.int64(m)))
             assert got == need or (need == 10**6 and got > min(n, m))
         assert lines.prefix_length(np.int64(n)) == n - -(-4 * n // 5) + 1
+
+
+def test_lines_of_few_words_take_part(documents):
+    texts = ["menu\nshare this page\na b c d", "menu\nthis page share\na b c d e", "a b c\nmenu menu\nb c d e", "a b\n\n \n\n", "a\nb a\n\na b c e"]
+    check(documents(texts), list(enumerate(texts)))
+    out = {r.doc_id: r.n_removed for r in lines.removal_report(documents(texts)).collect()}
+    assert out == {0: 0, 1: 3, 2: 2, 3: 0, 4: 2}
+
+
+def test_small_sets_are_told_apart_by_whole_hashes(monkeypatch):
+    monkeypatch.setattr(lines.W, "span_hashes", lambda data, start, end: data[start].astype(np.uint64))  # differ in the low bits only
+    sets = lines.LineSets(pa.array(["a\nb\na a"]), np.zeros(16, np.uint8))
+    assert sets.size.tolist() == [1, 1, 1]
+    assert sets.key[0] == sets.key[1] and sets.check[0] != sets.check[1] and sets.check[0] == sets.check[2]

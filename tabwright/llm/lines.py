@@ -7,7 +7,9 @@ on the input. Every line that has a word takes part; lines without one stay.
 1. *Rarity.* All words are counted in a table of ``CELLS`` cells by hash, of fixed size
    whatever the corpus. A word's order is its cell's count, then its hash: one order
    for all lines, rarest first, which is what the filters need to be exact.
-2. *Equal sets* are settled by hash: only the first line of each stays in the join. Sets
+2. *Equal sets* are settled by hash: only the first line of each stays in the join. Each
+   task's chunk sends on its own first and lets the later ones go at once, dealt by
+   document, so that a line with a third of all places gathers one place per chunk. Sets
    of fewer than ``LEAST_JOINED`` words are similar to equal ones only, and end here.
 3. *Prefixes.* Similar sets share a word among the first ``n - ceil(0.8 n) + 1`` of each,
    and two or three words if the prefix is one or two words longer. Lines meet by their
@@ -198,6 +200,7 @@ class LineSets:
 
 
 _PLACES = {"set": _U, "check": _U, "id": np.int64, "ref": np.int64, "line": np.int32}
+_GONE = {"line": np.int32, "ref": np.int64, "id": np.int64}
 _ENTRIES = {"key": np.uint32, "set": _U, "parity": _U, "size": np.uint32, "position": np.uint32}
 _COLUMNS = [f"c{k}" for k in range(7)]
 #: Words from which a signature has 128 bits and 256 bits; of so many words, shorter ones tell nothing.
@@ -232,15 +235,34 @@ def _firsts(set_: np.ndarray, check: np.ndarray, ids: np.ndarray, line: np.ndarr
     return order, new, (i != i[head]) | (n != n[head])
 
 
+def _distinct(refs: np.ndarray, new: np.ndarray, repeat: np.ndarray) -> np.ndarray:
+    """In the order of ``_firsts``: one of each document at the first place of a set; repeated ids put several there."""
+    out = ~repeat
+    several = np.flatnonzero(out & ~new)
+    if len(several):
+        at = np.flatnonzero(out)
+        of, ref = np.cumsum(new)[at], refs[at]
+        out[at] = False
+        order = np.lexsort((ref, of))
+        of, ref = of[order], ref[order]
+        first = np.concatenate([[True], (of[1:] != of[:-1]) | (ref[1:] != ref[:-1])])
+        out[at[order[first]]] = True
+    return out
+
+
 def _emitted(batches: Iterator[pa.RecordBatch], classes: np.ndarray, frequent: tuple[int, int], shards: int) -> Iterator[pa.RecordBatch]:
-    """Places of sets (kind 0) and prefix entries (kind 1), in arrays per shard; one set each per task's chunk."""
+    """Places of sets (kind 0), prefix entries (kind 1) and places that go (kind 2), in arrays per shard; one set each per task's chunk."""
     held: list[tuple] = []
     entries: list[tuple] = []
 
     def flush() -> pa.RecordBatch:
         rows: list[list] = [[] for _ in range(1 + len(_COLUMNS))]
         places = [np.concatenate([h[k] for h in held]).astype(d) for k, d in enumerate(_PLACES.values())]
-        _sharded(0, shards, places[0], places, rows)
+        order, new, repeat = _firsts(places[0], places[1], places[2], places[4])
+        leaving = order[_distinct(places[3][order], new, repeat)]
+        _sharded(0, shards, places[0][leaving], [p[leaving] for p in places], rows)
+        gone = order[repeat]
+        _sharded(2, shards, places[3][gone].view(_U), [places[k][gone] for k in (4, 3, 2)], rows)
         found = [np.concatenate([e[k] for e in entries], axis=-1) for k in range(5)]
         # a set that several slices of this chunk hold is entered once
         order = np.lexsort((found[1], found[0]))
@@ -346,10 +368,10 @@ def _paired(a: dict[str, np.ndarray], head: np.ndarray, size: np.ndarray) -> np.
 
 
 def _shard(table: pa.Table, shards: int) -> pa.Table:
-    """Kind 0: the first place of each set (``gone`` false), later ones (true). Kind 1: (group, set) where pairs may be."""
+    """Kind 0: the first place of each set (``gone`` false), later ones (true). Kind 1: (group, set) where pairs may be. Kind 2: places that go."""
     kind = table.column("shard")[0].as_py() // shards
-    fields = _ENTRIES if kind else _PLACES
-    counts = [len(v.as_buffer()) // 8 for v in table.column(_COLUMNS[1])]  # the second column is of 8 bytes in both kinds
+    fields = (_PLACES, _ENTRIES, _GONE)[kind]
+    counts = [len(v.as_buffer()) // 8 for v in table.column(_COLUMNS[1])]  # the second column is of 8 bytes in every kind
     a = {n: _read(table.column(c), d, counts) for c, (n, d) in zip(_COLUMNS, fields.items())}
     if kind == 0:
         order, new, repeat = _firsts(a["set"], a["check"], a["id"], a["line"])
@@ -359,6 +381,11 @@ def _shard(table: pa.Table, shards: int) -> pa.Table:
         return pa.table({
             "group": nothing, "set": a["set"][at].view(np.int64), "id": a["id"][at], "ref": a["ref"][at], "line": a["line"][at], "gone": gone,
         })
+    if kind == 2:
+        nothing = pa.nulls(len(a["ref"]), pa.int64())
+        return pa.table({
+            "group": nothing, "set": nothing, "id": a["id"], "ref": a["ref"], "line": a["line"], "gone": np.ones(len(a["ref"]), bool),
+        })
     long, longer = a["size"] >= LONG, a["size"] >= LONGER
     a["half"] = np.zeros(len(long), _U)
     a["half"][long] = np.concatenate([np.frombuffer(v.as_buffer(), _U) for v in table.column("c5")])
@@ -491,7 +518,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     columns = ", ".join(f"{c} binary" for c in _COLUMNS)
     met = map_arrow(rows, lambda b: _emitted(b, classes, frequent, shards), f"shard int, {columns}")
     schema = "group bigint, set bigint, id bigint, ref bigint, line int, gone boolean"
-    settled = stored(met.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(lambda t: _shard(t, shards), schema), "line-sets")
+    settled = stored(met.repartition(3 * shards, "shard").groupBy("shard").applyInArrow(lambda t: _shard(t, shards), schema), "line-sets")
     groups = joined_groups(settled.filter("group is not null").select("group", "set"))
     firsts = settled.filter("not gone").select("set", "id", "ref", "line")
     asked = (

@@ -141,3 +141,14 @@ def test_small_sets_are_told_apart_by_whole_hashes(monkeypatch):
     sets = lines.LineSets(pa.array(["a\nb\na a"]), np.zeros(16, np.uint8))
     assert sets.size.tolist() == [1, 1, 1]
     assert sets.key[0] == sets.key[1] and sets.check[0] != sets.check[1] and sets.check[0] == sets.check[2]
+
+
+def test_a_hot_line_leaves_a_chunk_once(documents):
+    texts = [f"menu of the whole site\nline number {i}" for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(1000), pa.int64()), pa.array(range(1000), pa.int64())], names=["text", "__id", "__ref"])
+    out = pa.Table.from_batches(lines._emitted(iter([batch]), np.zeros(16, np.uint8), (1, 2), 4)).to_pydict()
+    places, gone = ([n for s, n in zip(out["shard"], out["c1"]) if s // 4 == kind] for kind in (0, 2))
+    assert sum(map(len, places)) // 8 == 1001 and sum(map(len, gone)) // 8 == 999
+    assert len(gone) == 4  # dealt by document
+    rows = [(0, "x y z"), (0, "x y z\nq"), (1, "x y z"), (1, "q\nx y z"), (2, "p\nq\nz y x"), (2, "p\nq\nz y x")]
+    check(documents(rows), rows)

@@ -71,8 +71,8 @@ def _small_forest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training
     return rows, training.fit(rows, "rf", EXPLAINED, "cnt", n_estimators=5, max_depth=5, partitions=8)
 
 
-def _forest_attributions(rows: DataFrame, model: training.PipelineModel, background: int = 4) -> DataFrame:
-    sample = explain.default_background(rows, KEY, background, portable=True)
+def _forest_attributions(rows: DataFrame, model: training.PipelineModel) -> DataFrame:
+    sample = explain.default_background(rows, KEY, portable=True)
     return explain.attributions(rows, KEY, EXPLAINED, lambda df: training.predict(model, df), sample)
 
 
@@ -80,7 +80,7 @@ def _forest_attributions(rows: DataFrame, model: training.PipelineModel, backgro
 def forest_attributions_add_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose attributions and base value do not add up to the prediction: none."""
     rows, model = _small_forest(spark, sf_dir)
-    sums = _forest_attributions(rows, model, 2).groupBy(KEY).agg(
+    sums = _forest_attributions(rows, model).groupBy(KEY).agg(
         (F.sum("contribution") + F.max("base_value") - F.max("prediction")).alias("gap")
     )
     return sums.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs("gap") > 1e-6).alias("n_off"))
@@ -94,7 +94,7 @@ def forest_explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _surrogates(rows: DataFrame, model: training.PipelineModel) -> DataFrame:
-    return explain.local_surrogates(rows, KEY, EXPLAINED, lambda df: training.predict(model, df), rows, samples=20, top=4)
+    return explain.local_surrogates(rows, KEY, EXPLAINED, lambda df: training.predict(model, df), rows, top=4)
 
 
 @query("local_surrogates")
@@ -110,14 +110,14 @@ def explanation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     def surrogates_of(picked: DataFrame) -> DataFrame:
         return explain.local_surrogates(picked, KEY, EXPLAINED, lambda df: training.predict(model, df), rows, samples=1000)
 
-    return explain.explanation_report(rows, KEY, _forest_attributions(rows, model, 2), surrogates_of, rows.count())
+    return explain.explanation_report(rows, KEY, _forest_attributions(rows, model), surrogates_of, rows.count())
 
 
 @query("explained_rows")
 def explained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attribution and surrogate rule of every row and feature."""
     rows, model = _small_forest(spark, sf_dir)
-    return explain.explain_rows(_forest_attributions(rows, model, 2), _surrogates(rows, model), KEY)
+    return explain.explain_rows(_forest_attributions(rows, model), _surrogates(rows, model), KEY)
 
 
 TEMP_GRID = [0.0, 0.125, 0.25, 0.5, 0.75, 1.0]

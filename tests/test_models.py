@@ -181,3 +181,23 @@ def test_surrogate_finds_the_only_feature_that_matters(days):
 def test_background_must_be_small(spark):
     with pytest.raises(ValueError, match="Background"):
         explain.background_rows(spark.range(2000).toDF("x"), ["x"])
+
+
+def test_explanations_use_the_whole_background_and_all_samples(spark, sf_dir, monkeypatch):
+    from tabwright.plans import explanations
+
+    asked = {}
+    monkeypatch.setattr(explanations, "_small_forest", lambda *_: (spark.range(1), None))
+    monkeypatch.setattr(explanations.training, "feature_importance", lambda *_: None)
+    monkeypatch.setattr(explain, "attributions", lambda rows, key, features, scorer, background: asked.update(background=background) or rows.selectExpr(
+        "id as o_orderkey", "0.0 as contribution", "0.0 as base_value", "0.0 as prediction"))
+    for name in ("explain_model", "explain_rows", "explanation_report"):
+        monkeypatch.setattr(explain, name, lambda *_: None)
+    monkeypatch.setattr(explain, "default_background", lambda rows, key, n=100, portable=False: n)
+    monkeypatch.setattr(explain, "local_surrogates", lambda *_, samples=1000, top=None: asked.update(samples=samples))
+    for plan in (explanations.forest_attributions_add_up, explanations.forest_explanations, explanations.explained_rows, explanations.explanation_report):
+        asked.pop("background", None)
+        plan(spark, sf_dir)
+        assert asked["background"] == 100, plan.__name__
+    explanations.local_surrogates(spark, sf_dir)
+    assert asked["samples"] == 1000

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import exact, heapbpe, lines, lm, ngrams, packing, prefixbpe, quality, shards, substrings
+from tabwright.llm import exact, heapbpe, lines, lm, mixing, ngrams, packing, prefixbpe, quality, shards, substrings
 from tabwright.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,41 @@ select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (part
        doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
 from d
 """
+
+
+@query
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op13_source_mixing"] = r"""
+with recursive d as (select source, doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size from documents),
+c as (select *, row_number() over (partition by source, doc_id, size) - 1 as copy from d),
+k as (select *, md5(concat_ws(':', coalesce(doc_id::varchar, ''), size, copy // 1000)) as key from c),
+s as (
+  select source, sum(size)::bigint as source_size, (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
+  from d group by source
+),
+l(level) as (
+  select sum(source_size)::double / sum(weight)::double from s
+  union
+  select ((select sum(source_size) from s) - coalesce(sum(3 * source_size) filter (level * weight > 3 * source_size), 0))::double
+         / (sum(weight) filter (not level * weight > 3 * source_size))::double
+  from l, s group by level
+),
+t as (
+  select source, source_size,
+         case when level * weight > 3 * source_size then (3 * source_size)::double else level * weight end as target
+  from s, (select max(level) as level from l)
+),
+b as (
+  select source, source_size, target, case when source_size > 0 then floor(target)::bigint // source_size else 0 end as epochs,
+         case when source_size > 0 then floor(target)::bigint % source_size else 0 end as rest from t
+),
+p as (
+  select *, coalesce(sum(size) over (partition by source order by key, doc_id nulls first, size, copy
+                                     rows between unbounded preceding and 1 preceding), 0) as before from k
+)
+select doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::bigint as taken
+from p join b on p.source is not distinct from b.source
+"""

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import exact, heapbpe, lines, lm, mixing, ngrams, packing, prefixbpe, quality, shards, substrings
+from tabwright.llm import (
+    conversations, exact, heapbpe, lines, lm, mixing, ngrams, packing, prefixbpe, quality, shards, substrings, whitening,
+)
 from tabwright.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,7 +70,7 @@ with l as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as k from documents
 ),
 s as (select doc_id, k, line, list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as ws from l),
-e as (select doc_id, k, ws, len(ws) as n from s where len(ws) >= 5),
+e as (select doc_id, k, ws, len(ws) as n from s where len(ws) >= 1),
 t as (select doc_id, k, n, unnest(ws) as w from e),
 f as (select w, count(*) as f from t group by w),
 p as (select doc_id, k, n, w from t join f using (w) qualify row_number() over (partition by doc_id, k order by f, w) <= n - (4 * n + 4) // 5 + 1),
@@ -142,6 +144,16 @@ from d
 """
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damage_repairs(read_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(read_table(spark, sf_dir, "documents"))

@@ -137,14 +137,23 @@ def _write_text(path: str, text: str) -> None:
         f.write(text)
 
 
+#: Discounts for counts 1, 2, and 3 or more where the counts of counts give no usable ones.
+PLAIN_DISCOUNTS = (0.5, 1.0, 1.5)
+
+
 def discounts(counts: tuple[int, ...]) -> np.ndarray:
-    """Discounts for counts 0, 1, 2, and 3 or more; halves where the counts of counts have gaps."""
+    """Discounts for counts 0, 1, 2, and 3 or more, each strictly between 0 and its count.
+
+    An estimate that leaves that range, or whose counts of counts have gaps, as in a
+    corpus of texts that occur a fixed number of times, gives way to ``PLAIN_DISCOUNTS``:
+    a discount of 0 would leave a context nothing for words unseen after it.
+    """
     n1, n2, n3, n4 = counts
-    if not (n1 and n2 and n3):
-        return np.array([0.0, 0.5, 1.0, 1.5])
-    y = n1 / (n1 + 2 * n2)
-    d = [k - (k + 1) * y * b / a for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-    return np.array([0.0, *(min(max(x, 0.0), float(k)) for k, x in enumerate(d, start=1))])
+    out = [0.0]
+    for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)):
+        estimate = k - (k + 1) * (n1 / (n1 + 2 * n2)) * b / a if n1 and a else 0.0
+        out.append(estimate if 0.0 < estimate < k else PLAIN_DISCOUNTS[k - 1])
+    return np.array(out)
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
@@ -192,11 +201,19 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
 _WORD_COLUMNS = ("tokens", "left", "once", "twice", "more")
 
 
+_WORD_ROWS = pa.schema([("shard", pa.int32()), ("totals", pa.string()), ("word", pa.binary()), *((c, pa.binary()) for c in _WORD_COLUMNS)])
+_TOTALS = ["tokens", "types", "bigrams", *(f"{level}{k}" for level in "bw" for k in range(1, 5))]
+
+
 def _merge_bigrams(table: pa.Table, folder: str, bits: int) -> pa.Table:
     """Write one shard of bigrams; give (word shard, word sums) and the counts of counts."""
     shard = table.column("shard")[0].as_py()
     u = np.repeat(_joined(table.column("u"), _U), _joined(table.column("n"), np.uint32))
     w, c = _joined(table.column("w"), _U), _joined(table.column("c"), np.uint32)
+    if not len(w):
+        for name in ("key", "count"):
+            _write(_file(folder, "bigrams", shard, name), np.zeros(0, _U))
+        return _WORD_ROWS.empty_table()
     key = bigrams(u, w)
     order = np.argsort(key)
     key = key[order]
@@ -232,6 +249,10 @@ def _merge_words(table: pa.Table, folder: str) -> pa.Table:
     """Write one shard of words; give its totals and those of the bigrams."""
     shard = table.column("shard")[0].as_py()
     words = table.column("word")
+    if not sum(map(len, map(pa.BinaryScalar.as_buffer, words))):
+        for name in ("key", *_WORD_COLUMNS):
+            _write(_file(folder, "words", shard, name), np.zeros(0, _U))
+        return pa.table({n: pa.array([0], pa.int64()) for n in _TOTALS})
 
     def counts(name: str) -> np.ndarray:
         parts = []
@@ -275,12 +296,16 @@ def train(docs: DataFrame, folder: str | None = None) -> str:
         docs.select("text"), lambda batches: _count_batches(batches, bits), "shard int, u binary, n binary, w binary, c binary"
     )
     sums = ", ".join(f"{c} binary" for c in _WORD_COLUMNS)
+    # a row without content per shard: each is written, so a file that is not there is an error
+    every = spark.range(1 << bits).select(F.col("id").cast("int").alias("shard"))
+    empty = F.lit(b"")
+    counted = counted.unionByName(every.select("shard", *(empty.alias(c) for c in "unwc")))
     by_word = counted.repartition(1 << bits, "shard").groupBy("shard").applyInArrow(
         lambda table: _merge_bigrams(table, folder, bits), f"shard int, totals string, word binary, {sums}"
     )
-    names = ["tokens", "types", "bigrams", *(f"{level}{k}" for level in "bw" for k in range(1, 5))]
-    merged = by_word.repartition(1 << bits, "shard").groupBy("shard").applyInArrow(lambda table: _merge_words(table, folder), ", ".join(f"{n} long" for n in names))
-    total = merged.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names)).first()
+    by_word = by_word.unionByName(every.select("shard", F.lit(None).cast("string").alias("totals"), empty.alias("word"), *(empty.alias(c) for c in _WORD_COLUMNS)))
+    merged = by_word.repartition(1 << bits, "shard").groupBy("shard").applyInArrow(lambda table: _merge_words(table, folder), ", ".join(f"{n} long" for n in _TOTALS))
+    total = merged.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _TOTALS)).first()
     counts = {level: tuple(total[f"{level}{k}"] for k in range(1, 5)) for level in "bw"}
     Totals(bits, total["tokens"], total["types"], total["bigrams"], counts["b"], counts["w"]).save(folder)
     return folder
@@ -294,7 +319,7 @@ class Model:
             found = json.load(f)
         self.totals = Totals(**{k: tuple(v) if isinstance(v, list) else v for k, v in found.items()})
         self.folder = folder
-        self.mapped: dict[str, np.ndarray | None] = {}
+        self.mapped: dict[str, np.ndarray] = {}
         self.bigram_discount = discounts(self.totals.bigram_counts)
         self.word_discount = discounts(self.totals.word_counts)
         ones, twos = self.totals.word_counts[:2]
@@ -303,10 +328,10 @@ class Model:
         freed = float(np.dot(self.word_discount[1:], [ones, twos, more]))
         self.rest = freed / self.totals.bigrams if self.totals.bigrams else 1.0
 
-    def column(self, level: str, shard: int, name: str) -> np.ndarray | None:
+    def column(self, level: str, shard: int, name: str) -> np.ndarray:
         path = _file(self.folder, level, shard, name)
         if path not in self.mapped:
-            self.mapped[path] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            self.mapped[path] = np.load(path, mmap_mode="r")
         return self.mapped[path]
 
     def look_up(self, level: str, keys: np.ndarray, names: tuple[str, ...]) -> list[np.ndarray]:
@@ -315,7 +340,7 @@ class Model:
         shards = shard_of(keys, self.totals.bits)
         for shard in np.unique(shards).tolist():
             known = self.column(level, shard, "key")
-            if known is None or not len(known):
+            if not len(known):
                 continue
             a, b = np.searchsorted(shards, (shard, shard + 1))
             at = np.searchsorted(known, keys[a:b])

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -15,11 +16,12 @@ def tokens(text):
 
 
 def discounts(counts):
-    n = Counter(counts)
-    if not (n[1] and n[2] and n[3]):
-        return [0, 0.5, 1, 1.5]
-    y = n[1] / (n[1] + 2 * n[2])
-    return [0, *(min(max(k - (k + 1) * y * n[k + 1] / n[k], 0), k) for k in (1, 2, 3))]
+    """As the contract of the model has it: estimates inside (0, count), else a half, one, one and a half."""
+    n, out = Counter(counts), [0]
+    for k, plain in ((1, 0.5), (2, 1.0), (3, 1.5)):
+        d = k - (k + 1) * n[1] / (n[1] + 2 * n[2]) * n[k + 1] / n[k] if n[1] and n[k] else plain
+        out.append(d if 0 < d < k else plain)
+    return out
 
 
 def brute(texts, training):
@@ -106,4 +108,23 @@ def test_no_training_rows_empty_table_repeated_and_null_ids(documents):
 def test_discounts_stay_within_their_counts():
     for counts in [(0, 0, 0, 0), (5, 1, 9, 9), (100, 40, 20, 12), (1, 10, 1, 1)]:
         d = lm.discounts(counts)
-        assert d[0] == 0 and np.all((d >= 0) & (d <= [0, 1, 2, 3]))
+        assert d[0] == 0 and np.all((d[1:] > 0) & (d[1:] < [1, 2, 3]))
+
+
+def test_fixed_numbers_of_copies_give_finite_scores(documents):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randrange(300)}" for _ in range(12))
+    texts = [t for t in (text() for _ in range(60)) for _ in range(4)] + [text() for _ in range(200)]
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    want = brute(texts, [t for t, h in zip(texts, held) if not h])
+    for r in lm.held_out_scores(documents(texts)).collect():
+        assert math.isfinite(r.score) and r.score == pytest.approx(want[r.doc_id][4], rel=1e-9)
+
+
+def test_missing_shard_is_an_error(documents):
+    docs = documents(corpus(40))
+    folder = lm.train(docs)
+    path = next(p for k in range(16) if (p := lm._file(folder, "bigrams", k, "key")))
+    os.rename(path, path + ".away")
+    with pytest.raises(Exception, match="No such file"):
+        lm.scores(docs, folder).collect()

@@ -16,8 +16,9 @@ the d-by-q partial products are added in two levels, so that the driver receives
    and no longer shrink (rounding); beyond ``MOST_ROUNDS`` it raises.
 
 Where the block spans the whole space, Rayleigh-Ritz is exact and no filter is needed.
-Task results are added in a fixed order, so that runs agree up to the distribution of
-the fit list.
+Sums of doubles depend on how the fit list fell into tasks and blocks, and beyond 64
+tasks on the order in which partial sums arrive: runs agree up to rounding. Counts,
+sums and deviations are whole numbers and the same in every run.
 
 Cases. Vectors that are null, or hold null or non-finite entries, are dropped, and so
 are empty ones and those of another length than most (ties: the longer). Null and

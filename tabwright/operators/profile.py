@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tabwright.lineage import cut
 from tabwright.operators.checks import missing_flag
+from tabwright.operators.joins import spread_join
 from tabwright.operators.quantiles import quantiles
+from tabwright.operators.ranking import running_totals
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -80,7 +83,7 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None, method: st
     """(a, b, correlation) for every pair of numeric columns.
 
     Pearson is one aggregation; Spearman is the Pearson correlation of average
-    ranks, which ``pyspark.ml`` computes with one sort per column.
+    ranks, over rows that have a number in every column.
     """
     columns = list(columns or numeric_columns(df))
     if method == "spearman":
@@ -88,16 +91,40 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None, method: st
     if method != "pearson":
         raise ValueError(f"Unknown correlation method: {method}")
     pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[_correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("correlation")) for i, (a, b) in enumerate(pairs)]
     return wide.select(F.inline(F.array(*rows)))
 
 
-def _spearman(df: DataFrame, columns: list[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+def _correlation(a: str, b: str) -> Column:
+    """Pearson's correlation over rows that have both; null where one does not vary (``corr`` divides by zero there)."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
+def mid_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``_r<i>``: the tie-averaged rank of column i, over rows that have a number in every column.
+
+    Ranks come from value counts and their running totals, and go back to the rows by
+    joins that spread frequent values.
+    """
+    number = [F.col(c).cast("double") for c in columns]
+    rows = df.select(*((x + F.lit(0.0)).alias(f"_x{i}") for i, x in enumerate(number)))
+    for i in range(len(columns)):
+        rows = rows.filter(f"_x{i} is not null and not isnan(_x{i})")
+    pairs = F.array(*[F.struct(F.lit(i).alias("column"), F.col(f"_x{i}").alias("_v")) for i in range(len(columns))])
+    counts = cut(rows.select(F.inline(pairs)).groupBy("column", "_v").agg(F.count(F.lit(1)).alias("n")))
+    ranked = cut(running_totals(counts, ["column"], "_v", ["n"]))
+    middle = F.col("upto_n") - (F.col("n") - 1) / 2
+    for i in range(len(columns)):
+        mine = ranked.filter(F.col("column") == i).select(F.col("_v").alias(f"_x{i}"), "n", middle.alias(f"_r{i}"))
+        rows = spread_join(rows, mine, f"_x{i}", "n").drop(f"_x{i}", "n")
+    return rows
+
 
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="skip").transform(df.select(*columns))
-    matrix = Correlation.corr(vectors, "_v", "spearman").first()[0].toArray()
-    rows = [(a, b, float(matrix[columns.index(a), columns.index(b)])) for a, b in combinations(columns, 2)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, correlation double")
+def _spearman(df: DataFrame, columns: list[str]) -> DataFrame:
+    pairs = list(combinations(range(len(columns)), 2))
+    found = [F.coalesce(_correlation(f"_r{i}", f"_r{j}"), F.lit(float("nan"))).alias(f"c{k}") for k, (i, j) in enumerate(pairs)]
+    wide = mid_ranks(df, columns).agg(*found)
+    rows = [F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), F.col(f"c{k}").alias("correlation")) for k, (i, j) in enumerate(pairs)]
+    return wide.select(F.inline(F.array(*rows)))

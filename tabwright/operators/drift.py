@@ -1,26 +1,28 @@
 """Distribution drift between a reference and a current table.
 
-Rows shrink to counts per (column, value) before anything is sorted, so a value
-held by a third of all rows is one row from then on. Distances are exact, and are
-taken over the values that are there; missing ones (null, NaN) are counted per side.
-A column that has values on one side only counts as drifted: its distances are 1.
-Without values on both sides they are 0.
+Numbers are compared by histograms on the reference's bins (``histograms``), with the
+error of each distance. With ``exact=True`` rows shrink to counts per (column, value)
+instead, so a value held by a third of all rows is one row before anything is sorted;
+all distinct values are shuffled then. Labels are counted by value in both modes.
+
+Distances are taken over the values that are there; missing ones (null, NaN) are counted
+per side. A column that has values on one side only counts as drifted: its distances are
+1. Without values on both sides they are 0.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.lineage import cut
+from tabwright.operators.histograms import FLOOR, MIN_STD, Bins, binned_drift
 from tabwright.operators.quantiles import MAX_COUNTERS, quantile_literals
 from tabwright.operators.ranking import running_totals
 
-FLOOR = 1e-6
-MIN_STD = 0.001
-
 
 def value_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
     """(column, value, n_ref, n_cur) over both tables; the missing are one value, null."""
@@ -134,7 +136,7 @@ def counted_edges(counts: DataFrame, ref: DataFrame, columns: Sequence[str], bin
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """(column, ks, wasserstein, psi) of numeric columns, from one pass over each table."""
+    """(column, ks, wasserstein, psi) of numeric columns, exact, from one pass over each table."""
     counts = cut(value_counts(ref, cur, columns, "double"))
     return _numeric(counts, ref, columns, bins)
 
@@ -158,28 +160,44 @@ def _categorical(counts: DataFrame) -> DataFrame:
 
 
 def drift_report(
-    ref: DataFrame, cur: DataFrame, numerical: Sequence[str], categorical: Sequence[str], threshold: float = 0.1
-) -> DataFrame:
-    """(column, kind, method, score, drifted): Wasserstein for numbers, Jensen-Shannon for labels.
+    ref: DataFrame, cur: DataFrame, numerical: Sequence[str], categorical: Sequence[str], threshold: float = 0.1,
+    exact: bool = False, bins: Bins | None = None,
+) -> DataFrame:
+    """(column, kind, method, score, error, drifted): Wasserstein for numbers, Jensen-Shannon for labels.
+
+    Numbers are compared on ``bins``, fitted on the reference unless given: the exact distance lies
+    in [score, score + error], and numbers whose interval holds the threshold are judged by all
+    their values, so ``drifted`` is that of the exact distances. ``exact=True`` does so for all.
 
     A column also counts as drifted if the share of its missing values changed by the threshold;
     its score is then that change, if it is the larger.
     """
     parts = []
-    for kind, method, columns, dtype in (
-        ("numerical", "wasserstein", numerical, "double"), ("categorical", "jensen_shannon", categorical, "string"),
-    ):
-        if not columns:
-            continue
-        counts = cut(value_counts(ref, cur, columns, dtype))
-        found = _numeric(counts, ref, columns, 10) if kind == "numerical" else _categorical(counts)
-        change = missing_shares(counts).select("column", F.abs(F.col("missing_ref") - F.col("missing_cur")).alias("_change"))
-        score = F.when(F.col("_change") >= threshold, F.greatest(method, "_change")).otherwise(F.col(method))
-        parts.append(
-            found.join(change, "column").select("column", F.lit(kind).alias("kind"), F.lit(method).alias("method"), score.alias("score"))
-        )
-    report = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return report.withColumn("drifted", F.col("score") >= threshold)
+    if numerical and not exact:
+        found = cut(_with_missing(binned_drift(ref, cur, numerical, bins), "numerical", "wasserstein", F.col("wasserstein_error"), threshold))
+        undecided = (F.col("score") < threshold) & (F.col("score") + F.col("error") >= threshold)
+        unclear = [r["column"] for r in found.filter(undecided).select("column").collect()]
+        parts.append(found.filter(~F.col("column").isin(unclear)) if unclear else found)
+    else:
+        unclear = list(numerical)
+    if unclear:
+        counts = cut(value_counts(ref, cur, unclear, "double"))
+        found = _numeric(counts, ref, unclear, 10).join(missing_shares(counts), "column")
+        parts.append(_with_missing(found, "numerical", "wasserstein", F.lit(0.0), threshold))
+    if categorical:
+        counts = cut(value_counts(ref, cur, categorical, "string"))
+        found = _categorical(counts).join(missing_shares(counts), "column")
+        parts.append(_with_missing(found, "categorical", "jensen_shannon", F.lit(0.0), threshold))
+    return reduce(DataFrame.unionByName, parts).withColumn("drifted", F.col("score") >= threshold)
+
+
+def _with_missing(found: DataFrame, kind: str, method: str, error: Column, threshold: float) -> DataFrame:
+    """Distance, or the change of the missing share where that is beyond the threshold and larger."""
+    change = F.abs(F.col("missing_ref") - F.col("missing_cur"))
+    score = F.when(change >= threshold, F.greatest(F.col(method), change)).otherwise(F.col(method))
+    return found.select(
+        "column", F.lit(kind).alias("kind"), F.lit(method).alias("method"), score.alias("score"), error.alias("error")
+    )
 
 
 def overall(report: DataFrame, threshold: float = 0.1) -> DataFrame:

@@ -39,8 +39,9 @@ def quality_issues(report: DataFrame) -> DataFrame:
 
 
 def monitor_data(
-    df: DataFrame, roles: Roles, snapshot_path: str | None = None, drift_threshold: float = 0.1, reference: DataFrame | None = None
-) -> DataFrame:
+    df: DataFrame, roles: Roles, snapshot_path: str | None = None, drift_threshold: float = 0.1, reference: DataFrame | None = None,
+    exact: bool = False,
+) -> DataFrame:
     """Quality checks and, where a reference exists, drift per column, as one long table."""
     quality = quality_report(df).select(F.lit("quality").alias("kind"), F.col("check").alias("name"), "value", "threshold", "breached")
     links = correlations(df, [*roles.numerical, roles.target]).select(
@@ -57,7 +58,7 @@ def monitor_data(
         except FileNotFoundError:
             reference = None
     if reference is not None:
-        moved = drift_report(reference, df, roles.numerical, roles.categorical, drift_threshold)
+        moved = drift_report(reference, df, roles.numerical, roles.categorical, drift_threshold, exact)
         result = result.unionByName(
             moved.select(
                 F.lit("drift").alias("kind"), F.col("column").alias("name"), F.col("score").alias("value"),

@@ -68,7 +68,51 @@ def label_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cur = b.reference_and_current(spark, sf_dir)
-    return rounded_columns(drift.drift_report(ref, cur, NUMERIC, b.CATEGORICAL), "score")
+    return rounded_columns(drift.drift_report(ref, cur, NUMERIC, b.CATEGORICAL, exact=True).drop("error"), "score")
+
+
+# Stated edges; cnt runs from 0 to some 6,500.
+EDGES = {c: [i / 20 for i in range(1, 20)] for c in b.NUMERICAL} | {"cnt": [250.0 * i for i in range(4, 24)]}
+_EDGES = " union all ".join(f"select '{c}' as c, {e}::double[] as edges" for c, e in EDGES.items())
+
+# Stretches between neighbouring values carry a constant gap; those inside a bin add up with their sign.
+BINNED_DRIFT = f"""{NUMERIC_DRIFT}, stated as ({_EDGES}),
+rows_of as (select c, f, g, f - g as gap, v, nxt, 2 * len(list_filter(edges, lambda e: v > e)) + list_contains(edges, v)::int as bin,
+  2 * len(list_filter(edges, lambda e: nxt > e)) + list_contains(edges, nxt)::int as next_bin, s
+  from cum join stated using (c)),
+ends as (select c, unnest(edges) as e from stated),
+at_edges as (select c, e, coalesce(max(f) filter (v <= e), 0) as f, coalesce(max(g) filter (v <= e), 0) as g from ends join cum using (c) group by c, e
+  union all select c, e, coalesce(max(f) filter (v < e), 0), coalesce(max(g) filter (v < e), 0) from ends join cum using (c) group by c, e),
+ks as (select c, max(abs(f - g)) as ks from at_edges group by c),
+inner_parts as (select c, bin, max(v) - min(v) as w, sum(case when next_bin = bin then gap * (nxt - v) else 0 end) as i,
+  sum(case when next_bin > bin then abs(gap) * (nxt - v) else 0 end) as sure, max(f) as f1, max(g) as g1, max(s) as s from rows_of group by c, bin),
+bounds as (select *, coalesce(lag(f1) over w2, 0) - g1 as least, f1 - coalesce(lag(g1) over w2, 0) as most from inner_parts window w2 as (partition by c order by bin)),
+bounded as (select c, sum(sure + abs(i)) / greatest(max(s), 0.001) as wasserstein,
+  sum(case when least < 0 and most > 0 and w > 0 then (i * (most + least) - 2 * w * least * most) / (most - least) - abs(i) else 0 end) / greatest(max(s), 0.001) as wasserstein_error,
+  max(case when w > 0 then greatest(most, -least) else abs(f1 - g1) end) as ks_most, max(abs(f1 - g1)) as ks_known from (select * exclude (f1, g1), f1, g1 from bounds) group by c),
+bin_shares as (select c, bin, f1 - coalesce(lag(f1) over w2, 0) as p, g1 - coalesce(lag(g1) over w2, 0) as q from inner_parts window w2 as (partition by c order by bin)),
+bin_psi as (select c, sum((greatest(q, 1e-6) - greatest(p, 1e-6)) * ln(greatest(q, 1e-6) / greatest(p, 1e-6))) as psi
+  from (select c, sum(p) as p, sum(q) as q from bin_shares group by c, bin // 2) group by c)"""
+
+
+@query(
+    "binned_drift",
+    f"""with {BINNED_DRIFT} select c as "column", round(ks, 6) + 0.0 as ks, round(greatest(ks_most - ks, 0), 6) + 0.0 as ks_error, round(wasserstein, 6) + 0.0 as wasserstein,
+  round(wasserstein_error, 6) + 0.0 as wasserstein_error, round(bin_psi.psi, 6) + 0.0 as psi, 0.0::double as missing_ref, 0.0::double as missing_cur
+from ks join bounded using (c) join bin_psi using (c)""",
+)
+def binned_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift on stated bins with the errors that the bins leave open."""
+    ref, cur = b.reference_and_current(spark, sf_dir)
+    found = drift.binned_drift(ref, cur, NUMERIC, drift.Bins.on_edges(ref, EDGES))
+    return rounded_columns(found, *[c for c in found.columns if c != "column"])
+
+
+@query("drift_flags_from_bins", f"""with {REPORT} select "column", kind, method, score >= 0.1 as drifted from report""")
+def drift_flags_from_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default report, on fitted bins: its flags are those of the exact distances."""
+    ref, cur = b.reference_and_current(spark, sf_dir)
+    return drift.drift_report(ref, cur, NUMERIC, b.CATEGORICAL).select("column", "kind", "method", "drifted")
 
 
 _HOLES = f"""{b.SIDES}, ref_h as (select temp as gone, null::double as never, temp as half, cnt as kept from ref),
@@ -107,7 +151,7 @@ _ALARM = f"""{REPORT}, summary as (select coalesce(avg(score) filter (score >= 0
 )
 def drift_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cur = b.reference_and_current(spark, sf_dir)
-    summary = drift.overall(drift.drift_report(ref, cur, NUMERIC, b.CATEGORICAL))
+    summary = drift.overall(drift.drift_report(ref, cur, NUMERIC, b.CATEGORICAL, exact=True))
     return rounded_columns(summary.withColumn("drifted_columns", F.array_join("drifted_columns", ",")), "drift_score")
 
 
@@ -157,7 +201,7 @@ def data_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cur = b.reference_and_current(spark, sf_dir)
     path = new_path(spark, "reference")
     tables.write_snapshot(ref, path)
-    return rounded_columns(monitoring.monitor_data(cur, b.DEMAND_ROLES, path), "value")
+    return rounded_columns(monitoring.monitor_data(cur, b.DEMAND_ROLES, path, exact=True), "value")
 
 
 # Current metrics are those of the test split, the baseline those of the training split under a better scorer.
@@ -207,7 +251,7 @@ union all select 'Model Performance Drop', message, 'error', metric, round(cur,
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything that breached a threshold, from all three monitors."""
     ref, cur = b.reference_and_current(spark, sf_dir)
-    summary = drift.overall(drift.drift_report(ref, cur, NUMERIC, b.CATEGORICAL))
+    summary = drift.overall(drift.drift_report(ref, cur, NUMERIC, b.CATEGORICAL, exact=True))
     quality = monitoring.quality_report(b.demand_dirty(spark, sf_dir))
     raised = (
         monitoring.drift_alerts(summary)

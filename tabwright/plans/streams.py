@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.columns import rounded
 from tabwright.lineage import new_path
 from tabwright.operators import drift
+from tabwright.operators.histograms import histogram
 from tabwright.plans import bindings as b
 from tabwright.plans.catalog import query
 from tabwright.plans.experiments import WELCH, moments_sql, rounded_columns, t_tail
@@ -105,10 +106,10 @@ drifted as (select t.window_start, 'value' as "column", sum((greatest(coalesce(n
 
 def _stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference = b.table(spark, sf_dir, "events")
-    edges = drift.quantile_edges(reference, ["value"])
-    bins = operators.windowed_bins(_stream(spark, sf_dir, "events"), "ts", edges)
-    final = _updated(spark, bins, "bins", ["window_start", "column", "bin"])
-    return operators.window_drift(final, operators.reference_bins(reference, edges))
+    bins = drift.Bins.on_edges(reference, drift.quantile_edges(reference, ["value"]))
+    live = operators.windowed_bins(_stream(spark, sf_dir, "events"), "ts", bins)
+    final = _updated(spark, live, "bins", ["window_start", "column", "bin"])
+    return operators.window_drift(final, histogram(reference, bins), bins).select("window_start", "column", "psi")
 
 
 @query("streamed_drift", f"""with {STREAM_DRIFT} select window_start, "column", round(psi, 6) + 0.0 as psi from drifted""")
@@ -125,12 +126,40 @@ def streamed_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert rows written per micro-batch; later batches of a window replace earlier ones."""
     reference = b.table(spark, sf_dir, "events")
-    edges = drift.quantile_edges(reference, ["value"])
-    shares = operators.reference_bins(reference, edges)
-    bins = operators.windowed_bins(_stream(spark, sf_dir, "events"), "ts", edges)
+    bins = drift.Bins.on_edges(reference, drift.quantile_edges(reference, ["value"]))
+    live = operators.windowed_bins(_stream(spark, sf_dir, "events"), "ts", bins)
     counts, path = new_path(spark, "bins"), new_path(spark, "alerts")
-    operators.run_drift_alerts(bins, shares, counts, path, new_path(spark, "alerts-progress"), 0.005).awaitTermination()
-    return rounded_columns(_plain_time(operators.current_alerts(spark, path, bins, shares), "ts"), "value").withColumn("threshold", F.lit(0.005))
+    operators.run_drift_alerts(live, histogram(reference, bins), bins, counts, path, new_path(spark, "alerts-progress"), 0.005).awaitTermination()
+    return rounded_columns(_plain_time(operators.current_alerts(spark, path), "ts"), "value").withColumn("threshold", F.lit(0.005))
+
+
+STATED_EDGES = [10.0 * i for i in range(1, 10)]
+
+
+@query(
+    "streamed_drift_with_missing",
+    f"""with e as (select date_trunc('day', ts)::timestamp as w, case when event_id % 11 = 0 then null when day(ts) % 2 = 0 and event_id % 3 = 0 then 'nan'::double else value end as v from events),
+x as (select w, v, len(list_filter({STATED_EDGES}, lambda q: v > q)) as bin from e where v is not null and not isnan(v)),
+r as (select bin, count(*) / (select count(*) from x) as p from x group by bin),
+d as (select w, bin, count(*) as n from x group by all),
+t as (select w, sum(n) as total from d group by w),
+psi as (select t.w, sum((greatest(coalesce(n / total, 0), 1e-6) - greatest(p, 1e-6)) * ln(greatest(coalesce(n / total, 0), 1e-6) / greatest(p, 1e-6))) as psi
+  from t cross join r left join d on d.w = t.w and d.bin = r.bin group by t.w),
+gone as (select w, avg(case when v is null or isnan(v) then 1.0 else 0.0 end) as missing_cur, (select avg(case when v is null or isnan(v) then 1.0 else 0.0 end) from e) as missing_ref from e group by w)
+select w as window_start, round(psi, 6) + 0.0 as psi, round(missing_ref, 6) + 0.0 as missing_ref, round(missing_cur, 6) + 0.0 as missing_cur,
+  round(greatest(psi, abs(missing_ref - missing_cur)), 6) + 0.0 as score from psi join gone using (w)""",
+)
+def streamed_drift_with_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value that turns null or NaN on some days is missing there, not high and not unseen."""
+    nan = (F.dayofmonth("ts") % 2 == 0) & (F.col("event_id") % 3 == 0)
+    value = F.when(F.col("event_id") % 11 != 0, F.when(nan, F.lit(float("nan"))).otherwise(F.col("value")))
+    reference = b.table(spark, sf_dir, "events").withColumn("value", value)
+    bins = drift.Bins.on_edges(reference, {"value": STATED_EDGES})
+    live = operators.windowed_bins(_stream(spark, sf_dir, "events").withColumn("value", value), "ts", bins)
+    final = _updated(spark, live, "holes", ["window_start", "column", "bin"])
+    found = operators.window_drift(final, histogram(reference, bins), bins)
+    picked = found.select("window_start", "psi", "missing_ref", "missing_cur", "score")
+    return rounded_columns(_plain_time(picked), "psi", "missing_ref", "missing_cur", "score")
 
 
 @query(

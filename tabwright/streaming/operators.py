@@ -13,11 +13,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType, TimestampType
 
 from tabwright.operators import abtest
 from tabwright.operators.checks import missing_flag
-from tabwright.operators.drift import FLOOR, bin_of
 from tabwright.operators.features import FeatureState
+from tabwright.operators.histograms import Bins, cells, histogram_drift, state
 from tabwright.operators.training import score
 from tabwright.streaming import sinks
 
@@ -66,35 +67,28 @@ def window_duplicates(copies: DataFrame) -> DataFrame:
     return counted.withColumn("duplicate_rate", F.try_divide(F.col("n_duplicates").cast("double"), F.col("n_rows")))
 
 
-def windowed_bins(df: DataFrame, ts: str, edges: Mapping[str, Sequence[float]], length: str = "1 day", watermark: str = "1 day") -> DataFrame:
-    """Rows per (window, column, bin) on the bins of a reference table."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), bin_of(F.col(c), e).alias("bin")) for c, e in edges.items()])
-    timed = with_event_time(df, ts, watermark)
-    exploded = timed.select(ts, F.inline(pairs)).filter("bin is not null")
-    return _open(exploded.groupBy(_window(ts, length, None), "column", "bin").agg(F.count(F.lit(1)).alias("n")))
+def windowed_bins(df: DataFrame, ts: str, bins: Bins, length: str = "1 day", watermark: str = "1 day") -> DataFrame:
+    """A histogram per window on the bins of a reference table; null and NaN have bins of their own."""
+    binned = cells(with_event_time(df, ts, watermark), bins, [ts])
+    return _open(binned.groupBy(_window(ts, length, None), "column", "bin").agg(*state()))
 
 
-def reference_bins(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
-    """(column, bin, share) of the reference; as many rows as there are bins."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), bin_of(F.col(c), e).alias("bin")) for c, e in edges.items()])
-    counts = df.select(F.inline(pairs)).filter("bin is not null").groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("column").agg(F.sum("n").alias("_all"))
-    share = F.try_divide(F.col("n").cast("double"), F.col("_all"))
-    return counts.join(F.broadcast(totals), "column").select("column", "bin", share.alias("share"))
+def window_drift(histograms: DataFrame, reference: DataFrame, bins: Bins) -> DataFrame:
+    """Drift per (window, column) of windowed histograms against the reference's histogram.
 
+    As for batches; ``score`` is the PSI, or the change of the missing share where that is the
+    larger. Both inputs are one row per bin.
+    """
+    found = histogram_drift(reference, histograms, bins, ["window_start"])
+    return found.withColumn("score", F.greatest("psi", F.abs(F.col("missing_ref") - F.col("missing_cur"))))
 
-def window_drift(bins: DataFrame, reference: DataFrame) -> DataFrame:
-    """PSI per (window, column) of windowed bin counts against reference shares.
 
-    Both inputs are counts, one row per bin, so joining them costs nothing;
-    a bin that a window lacks counts as FLOOR.
-    """
-    totals = bins.groupBy("window_start", "column").agg(F.sum("n").alias("_all"))
-    every = totals.join(F.broadcast(reference), "column")
-    share = F.coalesce(F.try_divide(F.col("n").cast("double"), F.col("_all")), F.lit(0.0))
-    joined = every.join(bins, ["window_start", "column", "bin"], "left")
-    p, q = F.greatest("share", F.lit(FLOOR)), F.greatest(share, F.lit(FLOOR))
-    return joined.groupBy("window_start", "column").agg(F.sum((q - p) * F.log(q / p)).alias("psi"))
+#: What ``window_verdicts`` returns.
+VERDICTS = StructType(
+    [StructField("ts", TimestampType())]
+    + [StructField(c, StringType()) for c in ("subject", "message", "severity", "metric")]
+    + [StructField("value", DoubleType()), StructField("threshold", DoubleType()), StructField("alarm", BooleanType())]
+)
 
 
 def window_verdicts(drift: DataFrame, threshold: float = 0.1) -> DataFrame:
@@ -102,16 +96,16 @@ def window_verdicts(drift: DataFrame, threshold: float = 0.1) -> DataFrame:
 
     Quiet windows have rows too, so that a later verdict can clear an earlier alert.
     """
-    text = F.format_string("Data drift score %.3f exceeds threshold %.3f", F.col("psi"), F.lit(threshold))
+    text = F.format_string("Data drift score %.3f exceeds threshold %.3f", F.col("score"), F.lit(threshold))
     return drift.select(
         F.col("window_start").alias("ts"),
         F.lit("Data Drift Detected").alias("subject"),
         text.alias("message"),
         F.lit("warning").alias("severity"),
         F.col("column").alias("metric"),
-        F.col("psi").alias("value"),
+        F.col("score").alias("value"),
         F.lit(threshold).alias("threshold"),
-        (F.col("psi") > threshold).alias("alarm"),
+        (F.col("score") > threshold).alias("alarm"),
     )
 
 
@@ -121,31 +115,31 @@ def window_alerts(drift: DataFrame, threshold: float = 0.1) -> DataFrame:
 
 
 def run_drift_alerts(
-    bins: DataFrame, reference: DataFrame, counts_path: str, verdicts_path: str, checkpoint: str, threshold: float = 0.1, every: str | None = None
-) -> StreamingQuery:
-    """Start a query that keeps the bin counts of a stream and a verdict on every window they touch.
+    histograms: DataFrame, reference: DataFrame, bins: Bins, counts_path: str, verdicts_path: str, checkpoint: str,
+    threshold: float = 0.1, every: str | None = None,
+) -> StreamingQuery:
+    """Start a query that keeps the histograms of a stream and a verdict on every window they touch.
 
-    ``bins`` come from ``windowed_bins`` in update mode. Counts are filed by the day of their
+    ``histograms`` come from ``windowed_bins`` in update mode. Counts are filed by the day of their
     window, and a batch reads back the days it touches, not the whole history. Read the alerts
     with ``current_alerts``.
     """
-    spark = bins.sparkSession
+    spark = histograms.sparkSession
     day = F.to_date("window_start")
 
     def judged(rows: DataFrame) -> DataFrame:
         touched = rows.select("window_start").distinct()
         days = [r[0] for r in touched.select(day).distinct().collect()]
-        filed = sinks.latest_of(spark, counts_path, bins.withColumn("day", day).schema, ["window_start", "column", "bin"], F.col("day").isin(days))
-        return window_verdicts(window_drift(filed.drop("day").join(touched, "window_start", "left_semi"), reference), threshold)
+        filed = sinks.latest_of(spark, counts_path, histograms.withColumn("day", day).schema, ["window_start", "column", "bin"], F.col("day").isin(days))
+        return window_verdicts(window_drift(filed.drop("day").join(touched, "window_start", "left_semi"), reference, bins), threshold)
 
     outputs = {counts_path: lambda rows: rows.withColumn("day", day), verdicts_path: judged}
-    return sinks.run_into(bins, outputs, checkpoint, "update", every, {counts_path: ["day"]})
+    return sinks.run_into(histograms, outputs, checkpoint, "update", every, {counts_path: ["day"]})
 
 
-def current_alerts(spark: SparkSession, verdicts_path: str, bins: DataFrame, reference: DataFrame) -> DataFrame:
+def current_alerts(spark: SparkSession, verdicts_path: str) -> DataFrame:
     """Alerts whose newest verdict still stands."""
-    schema = window_verdicts(window_drift(spark.createDataFrame([], bins.schema), reference)).schema
-    return sinks.latest_of(spark, verdicts_path, schema, ["ts", "metric"]).filter("alarm").drop("alarm")
+    return sinks.latest_of(spark, verdicts_path, VERDICTS, ["ts", "metric"]).filter("alarm").drop("alarm")
 
 
 def look_moments(df: DataFrame, ts: str, metric: str, by: Sequence[str], length: str = "1 day", watermark: str = "1 day", **arms) -> DataFrame:

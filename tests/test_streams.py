@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tabwright.operators import abtest
+from tabwright.operators.histograms import Bins, histogram
 from tabwright.plans import bindings as b
 from tabwright.streaming import operators, sinks
 
@@ -48,16 +49,16 @@ def test_redeliveries_are_logged_once(spark, sf_dir, tmp_path):
 
 def test_an_alert_clears_when_its_window_recovers(spark, tmp_path):
     rows = spark.range(400).select((F.timestamp_seconds(F.col("id") % 100 + 86400)).alias("ts"), (F.col("id") % 10).cast("double").alias("value"))
-    edges = {"value": [2.0, 5.0, 8.0]}
-    reference = operators.reference_bins(rows, edges)
+    bins = Bins.on_edges(rows, {"value": [2.0, 5.0, 8.0]})
+    reference = histogram(rows, bins)
     source = str(tmp_path / "source")
     counts, verdicts, progress = (str(tmp_path / n) for n in ("counts", "verdicts", "progress"))
 
     def run(batch):
         batch.coalesce(1).write.mode("append").parquet(source)
-        bins = operators.windowed_bins(sinks.read_stream(spark, source), "ts", edges, watermark="60 days")
-        operators.run_drift_alerts(bins, reference, counts, verdicts, progress).awaitTermination()
-        return operators.current_alerts(spark, verdicts, bins, reference).collect()
+        live = operators.windowed_bins(sinks.read_stream(spark, source), "ts", bins, watermark="60 days")
+        operators.run_drift_alerts(live, reference, bins, counts, verdicts, progress).awaitTermination()
+        return operators.current_alerts(spark, verdicts).collect()
 
     raised = run(rows.filter("value > 8"))
     assert [r.metric for r in raised] == ["value"] and raised[0].value > 0.1

@@ -16,8 +16,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions.columns import unit_hash
 from tabwright.lineage import cut
 from tabwright.operators.quantiles import quantile_literals
+from tabwright.operators.ranking import hashed_rank
 from tabwright.operators.split import sample_rows
 from tabwright.shipping import ship
 
@@ -139,6 +141,31 @@ def global_importance(attributed: DataFrame) -> DataFrame:
     )
 
 
+def permutation_importance(
+    df: DataFrame, key: str, features: Sequence[str], target: str, scorer: Scorer, repeats: int = 5, seed: int = 42, portable: bool = False
+) -> DataFrame:
+    """(feature, importance, std): how much the mean squared error rises when a feature is shuffled between rows.
+
+    In each repeat the rows are ranked by a hash of the unique ``key`` and take the feature of
+    the row ranked next (the last one that of the first), so no row keeps its own, and nothing
+    is sorted as a whole. Rows without a target are left out, rows without a prediction do not
+    count; a single row has no other, so its importances are 0. ``std`` is over the repeats.
+    """
+    rows = df.select(F.col(key).alias("_key"), F.col(target).cast("double").alias("_y"), F.struct(*features).alias("_own")).filter("_y is not null")
+    every = rows.withColumn("_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    ranked = cut(hashed_rank(every, unit_hash(F.col("_key"), F.col("_repeat") + seed, portable), ["_key"], ["_repeat"], "_rank"))
+    n = ranked.filter("_repeat = 0").count()
+    before = F.when(F.col("_rank") == 1, n).otherwise(F.col("_rank") - 1).cast("bigint")
+    lent = ranked.select("_repeat", before.alias("_rank"), F.col("_own").alias("_other"))
+    moved = ranked.join(lent, ["_repeat", "_rank"]).withColumn("_feature", F.explode(F.array(F.lit(None).cast("string"), *map(F.lit, features))))
+    mixed = {f: F.when(F.col("_feature") == f, F.col("_other")[f]).otherwise(F.col("_own")[f]) for f in features}
+    scored = scorer(moved.select("_repeat", "_feature", "_y", *[c.alias(f) for f, c in mixed.items()]))
+    error = scored.groupBy("_repeat", "_feature").agg(F.avg(F.pow(F.col("prediction") - F.col("_y"), F.lit(2))).alias("_mse"))
+    plain = error.filter("_feature is null").select("_repeat", F.col("_mse").alias("_plain"))
+    rise = error.filter("_feature is not null").join(F.broadcast(plain), "_repeat").withColumn("_rise", F.col("_mse") - F.col("_plain"))
+    return rise.groupBy(F.col("_feature").alias("feature")).agg(F.avg("_rise").alias("importance"), F.stddev_pop("_rise").alias("std"))
+
+
 # -- partial dependence -----------------------------------------------------------
 
 

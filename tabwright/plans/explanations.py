@@ -151,6 +151,27 @@ def individual_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.individual_curves(rows, KEY, "season", explain.grid_values(rows, "season"), closed_form_scorer)
 
 
+_SHUFFLED = ("temp", "season", "weathersit")
+_SQUARED = "pow(greatest(0, trunc(2000 + {temp} * 1500 - ({weathersit} - 1) * 200 + {season} * 100)) - r.cnt, 2)"
+_RISES = " union all ".join(
+    f"select '{c}' as feature, r.rep as rep, avg({_SQUARED.format(**{f: ('o' if f == c else 'r') + '.' + f for f in _SHUFFLED})}) - "
+    f"avg({_SQUARED.format(**{f: f'r.{f}' for f in _SHUFFLED})}) as rise from r join r o on o.rep = r.rep and o.k = r.k % r.n + 1 group by r.rep"
+    for c in _SHUFFLED
+)
+
+
+@query(
+    "permutation_importance",
+    f"""with {b.DEMAND}, r as (select rep, o_orderkey, temp, season, weathersit, cnt, count(*) over (partition by rep) as n,
+  row_number() over (partition by rep order by {b.unit_sql('(42 + rep)')}, o_orderkey) as k from demand, range(5) reps(rep)), rises as ({_RISES})
+select feature, round(avg(rise), 4) + 0.0 as importance, round(stddev_pop(rise), 4) + 0.0 as std from rises group by feature""",
+)
+def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five repeats with the closed-form scorer on all rows."""
+    out = explain.permutation_importance(b.demand(spark, sf_dir), KEY, _SHUFFLED, "cnt", closed_form_scorer, portable=True)
+    return rounded_columns(out, "importance", "std", digits=4)
+
+
 _JOINT = f"""j as (select g, h, avg({_scorer_sql('g', 'h')}) as v from demand, {_grid_sql('g', TEMP_GRID)}, {_grid_sql('h', SEASON_GRID)} group by g, h),
 pa as (select g, avg({_scorer_sql('g')}) as a from demand, {_grid_sql('g', TEMP_GRID)} group by g),
 pb as (select h, avg({_scorer_sql(season='h')}) as b from demand, {_grid_sql('h', SEASON_GRID)} group by h)"""

@@ -93,15 +93,15 @@ def compare_runs(metrics: DataFrame, ids: Sequence[str], wanted: Sequence[str],
     """Last values of the given runs side by side, with mean, population std and the best run.
 
     ``ids`` is a short list by nature; each becomes a column of the result.
-    Runs without the metric stay null and cannot be best.
+    Runs without the metric stay null and cannot be best; of equal values the first run id wins.
     """
     chosen = last_values(metrics.filter(F.col("run_id").isin(*ids) & F.col("metric").isin(*wanted)))
-    pick = F.max_by if maximize else F.min_by
+    order = F.when(F.col("value").isNotNull(), F.struct((-F.col("value") if maximize else F.col("value")).alias("v"), "run_id"))
     return chosen.groupBy("metric").agg(
         *[F.max(F.when(F.col("run_id") == i, F.col("value"))).alias(i) for i in ids],
         F.avg("value").alias("mean"),
         F.stddev_pop("value").alias("std"),
-        pick("run_id", "value").alias("best_run"),
+        F.min_by("run_id", order).alias("best_run"),
     )
 
 

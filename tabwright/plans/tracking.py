@@ -110,7 +110,7 @@ _COMPARED = ["click-2", "click-3", "purchase-4", "purchase-nobody"]
     "compared_runs",
     f"""with {b.RUNS}, {_LAST}, c as (select * from last where run_id in ({', '.join(f"'{i}'" for i in _COMPARED)}))
 select metric, {', '.join(f'''max(value) filter (run_id = '{i}') as "{i}"''' for i in _COMPARED)}, round(avg(value), 6) + 0.0 as mean,
-  round(stddev_pop(value), 6) + 0.0 as std, arg_max(run_id, value) as best_run from c group by metric""",
+  round(stddev_pop(value), 6) + 0.0 as std, (list(run_id order by value desc, run_id) filter (value is not null))[1] as best_run from c group by metric""",
 )
 def compared_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_columns(tracking.compare_runs(b.run_metrics(spark, sf_dir), _COMPARED, ["value"]), "mean", "std")

@@ -4,11 +4,14 @@ A scorer is any function that adds ``prediction`` to a table holding the feature
 columns: ``model.transform`` or plain column math. Every explanation widens rows
 inside their own task (``explode`` over a small literal), scores once, and folds
 the widened rows back by aggregation, so only one row per key is shuffled.
+A ``TreeScorer`` spares the widened rows: attributions and surrogates then come from
+tables of the fitted trees, inside one map over the rows.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
@@ -21,6 +24,7 @@ from tabwright.lineage import cut
 from tabwright.operators.quantiles import quantile_literals
 from tabwright.operators.ranking import hashed_rank
 from tabwright.operators.split import sample_rows
+from tabwright.operators.trees import Shapley, Trees, TreeScorer
 from tabwright.shipping import ship
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -91,8 +95,14 @@ def attributions(
     step. By default there are as many orders as background rows, so each of
     them is used once and contributions add up to prediction minus base exactly.
     ``key`` must be unique.
+
+    With a ``TreeScorer`` and no ``permutations`` nothing is sampled: the values are those
+    of every order and every background row, which the sampled ones scatter around.
     """
     rows = background_rows(background, features)
+    trees = _trees(scorer, features) if permutations is None else None
+    if trees is not None:
+        return _tree_attributions(df, key, features, trees.shapley(np.array(rows)))
     m, d = permutations or len(rows), len(features)
     if m % len(rows):
         raise ValueError(f"Use a multiple of the {len(rows)} background rows as permutations, so that all rows share one base")
@@ -132,6 +142,37 @@ def attributions(
     )
 
 
+def _trees(scorer: Scorer, features: Sequence[str]) -> Trees | None:
+    return Trees.of(scorer.model, features) if isinstance(scorer, TreeScorer) else None
+
+
+def _own_values(batch: pd.DataFrame, d: int) -> list[np.ndarray]:
+    x = [batch[f"_x_{j}"].to_numpy(dtype="float64") for j in range(d)]
+    if any(np.isnan(v).any() for v in x):
+        raise ValueError("A feature of an explained row is missing")
+    return x
+
+
+def _tree_attributions(df: DataFrame, key: str, features: Sequence[str], shapley: Shapley) -> DataFrame:
+    d = len(features)
+    rows = _spread(df, key, *[F.col(f).cast("double").alias(f"_x_{j}") for j, f in enumerate(features)])
+    ship(rows.sparkSession)
+
+    def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cells = shapley.trees.cells(_own_values(batch, d))
+            shares = {f"_c_{j}": c for j, c in enumerate(shapley(cells))}
+            yield batch.assign(base_value=shapley.base, prediction=shapley.trees.score(cells), **shares)
+
+    added = ["base_value", "prediction", *[f"_c_{j}" for j in range(d)]]
+    schema = ", ".join([f"`{c}` {t}" for c, t in rows.dtypes] + [f"{c} double" for c in added])
+    folded = rows.mapInPandas(attribute, schema)
+    index = {f: j for j, f in enumerate(features)}
+    return _long(
+        folded, key, features, lambda f: F.col(f"_x_{index[f]}"), lambda f: F.col(f"_c_{index[f]}"), "base_value", "prediction"
+    )
+
+
 def global_importance(attributed: DataFrame) -> DataFrame:
     """Mean absolute attribution per feature, largest first."""
     return (
@@ -315,6 +356,134 @@ def _perturb(bins: list[dict], features: list[str], samples: int, key: str):
     return run
 
 
+def _pairs(d: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(d) for j in range(i, d)]
+
+
+def _solve(s: np.ndarray, d: int, top: int, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(intercept, chosen features, their weights) per row of sums: w, w y, w z_j, w z_j y, w z_i z_j."""
+    total, mean_y = s[:, 0], s[:, 1] / s[:, 0]
+    mean_z, zy = s[:, 2 : 2 + d] / total[:, None], s[:, 2 + d : 2 + 2 * d]
+    zz = np.zeros((len(s), d, d))
+    for k, (i, j) in enumerate(_pairs(d)):
+        zz[:, i, j] = zz[:, j, i] = s[:, 2 + 2 * d + k]
+    a = zz - total[:, None, None] * mean_z[:, :, None] * mean_z[:, None, :]
+    right = zy - total[:, None] * mean_z * mean_y[:, None]
+    first = np.linalg.solve(a + penalty * np.eye(d), right[:, :, None])[:, :, 0]
+    pick = np.argsort(-np.abs(first), axis=1, kind="stable")[:, :top]
+    kept = np.take_along_axis(np.take_along_axis(a, pick[:, :, None], 1), pick[:, None, :], 2)
+    weights = np.linalg.solve(kept + penalty * np.eye(pick.shape[1]), np.take_along_axis(right, pick, 1)[:, :, None])[:, :, 0]
+    return mean_y - (weights * np.take_along_axis(mean_z, pick, 1)).sum(axis=1), pick, weights
+
+
+#: Surrogates from trees count patterns of features that stayed in their bins; beyond this many features rows are widened.
+MAX_PATTERN = 10
+_STEPS = 10  # bits of a draw that a look-up takes at once
+
+
+class _Draws:
+    """What ``_perturb`` draws for one feature, as cells of the trees instead of values."""
+
+    def __init__(self, spec: dict, trees: Trees, j: int):
+        self.edges, self.cuts = trees.edges[j], np.asarray(spec["edges"])
+        self.low, self.high = np.asarray(spec["low"]), np.asarray(spec["high"])
+        # the share is the upper half of a draw: it reaches an integer bound where the whole draw does
+        bounds = [math.ceil(c * 2.0**32) for c in np.cumsum(spec["share"])[:-1]]
+        self.bounds = [np.uint64(u << 32) for u in bounds if u < 1 << 32]
+        steps = np.arange(1 << _STEPS, dtype="uint64") << np.uint64(32 - _STEPS)
+        bins = np.arange(len(self.low))[:, None]
+        first = self.cell(bins, steps[None, :])
+        last = self.cell(bins, steps[None, :] + np.uint64((1 << (32 - _STEPS)) - 1))
+        unsure = first != last  # values rise with the draw, so equal ends mean one cell
+        self.offsets = [offsets[j] for offsets, _ in trees.tables]
+        self.tables = [np.where(unsure, -1, o[first]).ravel() for o in self.offsets]
+
+    def cell(self, drawn: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        share = inside.astype("float64") / 2.0**32
+        return np.searchsorted(self.edges, self.low[drawn] + share * (self.high[drawn] - self.low[drawn]), side="left")
+
+    def bins(self, h: np.ndarray) -> np.ndarray:
+        out = np.zeros(h.shape, dtype="uint8")
+        for bound in self.bounds:
+            out += h >= bound
+        return out
+
+    def add_offsets(self, h: np.ndarray, drawn: np.ndarray, own: np.ndarray, at: list[np.ndarray]) -> None:
+        """Add to ``at``, per table, where the drawn values lie in it; the first sample's is the row's own cell."""
+        step = ((h >> np.uint64(32 - _STEPS)) & np.uint64((1 << _STEPS) - 1)).view("int64")
+        step += drawn.astype("int64") << _STEPS
+        unsure = None
+        for place, table, offsets in zip(at, self.tables, self.offsets):
+            found = table.take(step)
+            if unsure is None:
+                unsure = np.nonzero(found < 0)
+                cells = self.cell(drawn[unsure], h[unsure] & np.uint64(0xFFFFFFFF))
+            found[unsure] = offsets[cells]
+            found[:, 0] = offsets[own]
+            place += found
+
+
+def _mix_in_place(h: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None)):
+        np.right_shift(h, np.uint64(shift), out=spare)
+        np.bitwise_xor(h, spare, out=h)
+        if factor:
+            np.multiply(h, np.uint64(factor), out=h)
+    return h
+
+
+def _tree_surrogates(bins: list[dict], trees: Trees, samples: int, top: int, penalty: float):
+    """The draws, scores, weights and normal equations of ``local_surrogates`` in one pass per row."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        d = len(bins)
+        draws = [_Draws(spec, trees, j) for j, spec in enumerate(bins)]
+        z = ((np.arange(1 << d)[:, None] >> np.arange(d)) & 1).astype("float64")
+        w = np.sqrt(np.exp(-(d - z.sum(axis=1)) / (0.75 * 0.75 * d)))
+        counted = np.column_stack([w, w[:, None] * z, *[w * z[:, i] * z[:, k] for i, k in _pairs(d)]])
+        valued = counted[:, : 1 + d]
+        start = np.arange(samples, dtype="uint64")[None, :] * np.uint64(0x9E3779B97F4A7C15)
+        step = max(1, 32_768 // samples)
+        for batch in batches:
+            x = _own_values(batch, d)
+            seeds = batch["_seed"].to_numpy().astype("int64").view("uint64")
+            cells = trees.cells(x)
+            own = [np.searchsorted(draw.cuts, v, side="left") for draw, v in zip(draws, x)]
+            sums, predicted = np.empty((len(batch), 2 + 2 * d + len(_pairs(d)))), np.empty(len(batch))
+            for low in range(0, len(batch), step):
+                rows = slice(low, min(low + step, len(batch)))
+                n = rows.stop - low
+                base = seeds[rows, None] + start
+                h, spare = np.empty_like(base), np.empty_like(base)
+                _mix_in_place(base, spare)
+                at = [np.zeros(base.shape, dtype="int64") for _ in trees.tables]
+                pattern = np.zeros(base.shape, dtype="int64")
+                for j, draw in enumerate(draws):
+                    np.add(base, np.uint64(j + 1), out=h)
+                    _mix_in_place(h, spare)
+                    drawn = draw.bins(h)
+                    kept = drawn == own[j][rows, None].astype("uint8")
+                    kept[:, 0] = True
+                    pattern += kept.astype("int64") << j
+                    if len(draw.edges):
+                        draw.add_offsets(h, drawn, cells[j][rows], at)
+                y = sum((values.take(place) for place, (_, values) in zip(at, trees.tables)), 0.0) / trees.divisor
+                pattern += (np.arange(n) << d)[:, None]
+                number = np.bincount(pattern.ravel(), minlength=n << d).reshape(n, -1)
+                value = np.bincount(pattern.ravel(), y.ravel(), minlength=n << d).reshape(n, -1)
+                c, v = number @ counted, value @ valued
+                sums[rows] = np.concatenate([c[:, :1], v[:, :1], c[:, 1 : 1 + d], v[:, 1:], c[:, 1 + d :]], axis=1)
+                predicted[rows] = y[:, 0]
+            if len(batch):
+                intercept, pick, weights = _solve(sums, d, top, penalty)
+                out = batch.drop(columns="_seed").assign(prediction=predicted, intercept=intercept)
+                for k in range(pick.shape[1]):
+                    out[f"_chosen_{k}"], out[f"_weight_{k}"] = pick[:, k].astype("int32"), weights[:, k]
+                yield out
+
+    return run
+
+
 def local_surrogates(
     df: DataFrame, key: str, features: Sequence[str], scorer: Scorer, training: DataFrame,
     samples: int = 1000, top: int = 10, seed: int = 42, penalty: float = 1.0,
@@ -323,47 +492,26 @@ def local_surrogates(
 
     (key, feature, rule, weight, intercept, local_prediction, prediction), the
     ``top`` heaviest features per row. Perturbed rows only live inside their
-    task: what leaves it are the sums of the normal equations.
+    task: what leaves it are the sums of the normal equations. A ``TreeScorer`` of up to
+    MAX_PATTERN features draws, scores and solves the same in one map.
     """
     bins, d = quartile_bins(training, features), len(features)
-    width2 = 0.75 * 0.75 * d
     own = [F.col(f).cast("double").alias(f"_x_{j}") for j, f in enumerate(features)]
     rows = _spread(df, key, F.xxhash64(key, F.lit(seed)).alias("_seed"), *own)
     ship(rows.sparkSession)
-    perturbed = rows.mapInPandas(_perturb([bins[f] for f in features], list(features), samples, key), _perturbed_schema(rows, features))
-    scored = scorer(perturbed)
-    z = [F.col(f"_z_{j}") for j in range(d)]
-    moved = F.lit(float(d)) - sum(z, F.lit(0.0))
-    weighted = scored.withColumn("_w", F.sqrt(F.exp(-moved / width2)))
-    w, y = F.col("_w"), F.col("prediction")
-    gram = [(i, j) for i in range(d) for j in range(i, d)]
-    sums = weighted.groupBy(key).agg(
-        *[F.any_value(f"_x_{j}").alias(f"_x_{j}") for j in range(d)],
-        F.max(F.when(F.col("_sample") == 0, y)).alias("prediction"),
-        F.array(F.sum(w), F.sum(w * y), *[F.sum(w * c) for c in z], *[F.sum(w * c * y) for c in z], *[F.sum(w * z[i] * z[j]) for i, j in gram]).alias("_sums"),
-    )
-
-    @F.pandas_udf("intercept double, chosen array<int>, weights array<double>")
-    def solve(batch: pd.Series) -> pd.DataFrame:
-        if batch.empty:
-            return pd.DataFrame({"intercept": [], "chosen": [], "weights": []})
-        s = np.stack(batch.to_numpy())
-        total, mean_y = s[:, 0], s[:, 1] / s[:, 0]
-        mean_z, zy = s[:, 2 : 2 + d] / total[:, None], s[:, 2 + d : 2 + 2 * d]
-        zz = np.zeros((len(s), d, d))
-        for k, (i, j) in enumerate(gram):
-            zz[:, i, j] = zz[:, j, i] = s[:, 2 + 2 * d + k]
-        a = zz - total[:, None, None] * mean_z[:, :, None] * mean_z[:, None, :]
-        right = zy - total[:, None] * mean_z * mean_y[:, None]
-        first = np.linalg.solve(a + penalty * np.eye(d), right[:, :, None])[:, :, 0]
-        pick = np.argsort(-np.abs(first), axis=1, kind="stable")[:, :top]
-        kept = np.take_along_axis(np.take_along_axis(a, pick[:, :, None], 1), pick[:, None, :], 2)
-        weights = np.linalg.solve(kept + penalty * np.eye(pick.shape[1]), np.take_along_axis(right, pick, 1)[:, :, None])[:, :, 0]
-        intercept = mean_y - (weights * np.take_along_axis(mean_z, pick, 1)).sum(axis=1)
-        return pd.DataFrame({"intercept": intercept, "chosen": pick.astype("int32").tolist(), "weights": weights.tolist()})
-
     xs = [f"_x_{j}" for j in range(d)]
-    solved = sums.select(key, *xs, "prediction", solve("_sums").alias("s"))
+    trees = _trees(scorer, features) if d <= MAX_PATTERN else None
+    if trees is not None:
+        most = min(top, d)
+        columns = [f"{c} double" for c in (*xs, "prediction", "intercept")] + [f"_chosen_{k} int, _weight_{k} double" for k in range(most)]
+        mapped = rows.mapInPandas(
+            _tree_surrogates([bins[f] for f in features], trees, samples, top, penalty),
+            f"`{key}` {rows.dtypes[0][1]}, " + ", ".join(columns),
+        )
+        chosen, weights = (F.array(*[F.col(f"{c}_{k}") for k in range(most)]).alias(name) for c, name in (("_chosen", "chosen"), ("_weight", "weights")))
+        solved = mapped.select(key, *xs, "prediction", F.struct("intercept", chosen, weights).alias("s"))
+    else:
+        solved = _widened_surrogates(rows, key, features, scorer, bins, samples, top, penalty)
     rules = F.array(*[_rule(f, _bin(F.col(x), bins[f]["edges"]), bins[f]["edges"]) for x, f in zip(xs, features)])
     names = F.array(*[F.lit(f) for f in features])
     local = F.col("s.intercept") + F.aggregate("s.weights", F.lit(0.0), lambda acc, v: acc + v)
@@ -382,6 +530,34 @@ def local_surrogates(
     )
 
 
+def _widened_surrogates(
+    rows: DataFrame, key: str, features: Sequence[str], scorer: Scorer, bins: dict[str, dict], samples: int, top: int, penalty: float
+) -> DataFrame:
+    """Neighbours as rows, for any scorer; what is left per row are the sums of the normal equations."""
+    d = len(features)
+    width2 = 0.75 * 0.75 * d
+    perturbed = rows.mapInPandas(_perturb([bins[f] for f in features], list(features), samples, key), _perturbed_schema(rows, features))
+    scored = scorer(perturbed)
+    z = [F.col(f"_z_{j}") for j in range(d)]
+    moved = F.lit(float(d)) - sum(z, F.lit(0.0))
+    weighted = scored.withColumn("_w", F.sqrt(F.exp(-moved / width2)))
+    w, y = F.col("_w"), F.col("prediction")
+    sums = weighted.groupBy(key).agg(
+        *[F.any_value(f"_x_{j}").alias(f"_x_{j}") for j in range(d)],
+        F.max(F.when(F.col("_sample") == 0, y)).alias("prediction"),
+        F.array(F.sum(w), F.sum(w * y), *[F.sum(w * c) for c in z], *[F.sum(w * c * y) for c in z], *[F.sum(w * z[i] * z[j]) for i, j in _pairs(d)]).alias("_sums"),
+    )
+
+    @F.pandas_udf("intercept double, chosen array<int>, weights array<double>")
+    def solve(batch: pd.Series) -> pd.DataFrame:
+        if batch.empty:
+            return pd.DataFrame({"intercept": [], "chosen": [], "weights": []})
+        intercept, pick, weights = _solve(np.stack(batch.to_numpy()), d, top, penalty)
+        return pd.DataFrame({"intercept": intercept, "chosen": pick.astype("int32").tolist(), "weights": weights.tolist()})
+
+    return sums.select(key, *[f"_x_{j}" for j in range(d)], "prediction", solve("_sums").alias("s"))
+
+
 # -- compositions -----------------------------------------------------------------
 
 

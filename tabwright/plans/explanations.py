@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import closed_form_demand, rounded
 from tabwright.operators import explain, neighbors, training
+from tabwright.operators.trees import TreeScorer
 from tabwright.plans import bindings as b
 from tabwright.plans.catalog import query
 from tabwright.plans.experiments import rounded_columns
@@ -73,7 +74,7 @@ def _small_forest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training
 
 def _forest_attributions(rows: DataFrame, model: training.PipelineModel) -> DataFrame:
     sample = explain.default_background(rows, KEY, portable=True)
-    return explain.attributions(rows, KEY, EXPLAINED, lambda df: training.predict(model, df), sample)
+    return explain.attributions(rows, KEY, EXPLAINED, TreeScorer(model), sample)
 
 
 @query("forest_attributions_add_up", f"with {b.DEMAND} select count(*) as n_rows, cast(0 as bigint) as n_off from demand")
@@ -94,7 +95,7 @@ def forest_explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _surrogates(rows: DataFrame, model: training.PipelineModel) -> DataFrame:
-    return explain.local_surrogates(rows, KEY, EXPLAINED, lambda df: training.predict(model, df), rows, top=4)
+    return explain.local_surrogates(rows, KEY, EXPLAINED, TreeScorer(model), rows, top=4)
 
 
 @query("local_surrogates")
@@ -108,7 +109,7 @@ def explanation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model = _small_forest(spark, sf_dir)
 
     def surrogates_of(picked: DataFrame) -> DataFrame:
-        return explain.local_surrogates(picked, KEY, EXPLAINED, lambda df: training.predict(model, df), rows, samples=1000)
+        return explain.local_surrogates(picked, KEY, EXPLAINED, TreeScorer(model), rows, samples=1000)
 
     return explain.explanation_report(rows, KEY, _forest_attributions(rows, model), surrogates_of, rows.count())
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,7 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(where) and fs.getFileStatus(where).isDirectory()
 
 
-def dealt(df: DataFrame, partitions: int) -> DataFrame:
+def dealt(df: DataFrame, partitions: int, by: Sequence[str] | None = None) -> DataFrame:
     """Rows placed and sorted by their values: the same partitions whatever the input files and the cluster."""
-    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
+    columns = list(by or df.columns)
+    return df.repartition(partitions, *columns).sortWithinPartitions(*columns)

@@ -405,20 +405,24 @@ class _Draws:
     def bins(self, h: np.ndarray) -> np.ndarray:
         out = np.zeros(h.shape, dtype="uint8")
         for bound in self.bounds:
-            out += h >= bound
+            out += (h >= bound).view("uint8")
         return out
 
     def add_offsets(self, h: np.ndarray, drawn: np.ndarray, own: np.ndarray, at: list[np.ndarray]) -> None:
         """Add to ``at``, per table, where the drawn values lie in it; the first sample's is the row's own cell."""
-        step = ((h >> np.uint64(32 - _STEPS)) & np.uint64((1 << _STEPS) - 1)).view("int64")
-        step += drawn.astype("int64") << _STEPS
+        step = h >> np.uint64(32 - _STEPS)
+        step &= np.uint64((1 << _STEPS) - 1)
+        step = step.view("int64")
+        high = drawn.astype("int64")
+        high <<= _STEPS
+        step += high
         unsure = None
         for place, table, offsets in zip(at, self.tables, self.offsets):
-            found = table.take(step)
+            found = table.take(step, mode="clip")  # never out of range; clipping is the fastest mode
             if unsure is None:
-                unsure = np.nonzero(found < 0)
-                cells = self.cell(drawn[unsure], h[unsure] & np.uint64(0xFFFFFFFF))
-            found[unsure] = offsets[cells]
+                unsure = np.flatnonzero(found < 0)
+                cells = self.cell(drawn.ravel()[unsure], h.ravel()[unsure] & np.uint64(0xFFFFFFFF))
+            found.ravel()[unsure] = offsets[cells]
             found[:, 0] = offsets[own]
             place += found
 
@@ -457,18 +461,18 @@ def _tree_surrogates(bins: list[dict], trees: Trees, samples: int, top: int, pen
                 h, spare = np.empty_like(base), np.empty_like(base)
                 _mix_in_place(base, spare)
                 at = [np.zeros(base.shape, dtype="int64") for _ in trees.tables]
-                pattern = np.zeros(base.shape, dtype="int64")
+                code = np.zeros(base.shape, dtype="uint16")
                 for j, draw in enumerate(draws):
                     np.add(base, np.uint64(j + 1), out=h)
                     _mix_in_place(h, spare)
                     drawn = draw.bins(h)
                     kept = drawn == own[j][rows, None].astype("uint8")
                     kept[:, 0] = True
-                    pattern += kept.astype("int64") << j
+                    code += kept * np.uint16(1 << j)
                     if len(draw.edges):
                         draw.add_offsets(h, drawn, cells[j][rows], at)
-                y = sum((values.take(place) for place, (_, values) in zip(at, trees.tables)), 0.0) / trees.divisor
-                pattern += (np.arange(n) << d)[:, None]
+                y = sum((values.take(place, mode="clip") for place, (_, values) in zip(at, trees.tables)), 0.0) / trees.divisor
+                pattern = code + (np.arange(n) << d)[:, None]
                 number = np.bincount(pattern.ravel(), minlength=n << d).reshape(n, -1)
                 value = np.bincount(pattern.ravel(), y.ravel(), minlength=n << d).reshape(n, -1)
                 c, v = number @ counted, value @ valued

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
@@ -33,6 +34,7 @@ SCORES = "model string, fold int, side string, metric string, value double"
 FOREST_DEFAULTS = {"n_estimators": 100, "max_depth": None, "min_samples_leaf": 1, "seed": 42}
 TUNING_RANGES = {"n_estimators": (50, 300), "max_depth": (5, 30), "min_samples_leaf": (1, 10)}
 DEEPEST = 30  # pyspark.ml refuses deeper trees
+PART_ROWS = 250_000  # rows that one partition of dealt rows holds, about
 
 
 def _tree_params(params: Mapping) -> dict:
@@ -85,14 +87,15 @@ def fit(df: DataFrame, model: str, features: Sequence[str], target: str, **param
     """Fit one model of the zoo; rows with a missing feature or target are left out.
 
     Bagging draws per partition. ``partitions`` deals the rows by their values to that many,
-    so that the fitted forest is the same whatever the files and the cluster; without it the
-    rows stay where they were read, which spares a shuffle.
+    or to one per PART_ROWS rows where that is more, so that the fitted forest is the same
+    whatever the files and the cluster; without it the rows stay where they are, which spares
+    a shuffle.
     """
     if model not in ZOO:
         raise ValueError(f"Unknown model: {model}")
     rows = df.select(*features, F.col(target).cast("double").alias(target)).na.drop()
     if params.get("partitions"):
-        rows = dealt(rows, int(params["partitions"]))
+        rows = deal(rows, [*features, target], int(params["partitions"]))
     if model == "ridge":
         n, std = rows.agg(F.count(F.lit(1)), F.stddev_pop(target)).first()
         params = {**params, "n": n, "label_std": std}
@@ -100,6 +103,15 @@ def fit(df: DataFrame, model: str, features: Sequence[str], target: str, **param
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=VECTOR), estimator]).fit(rows)
 
 
+def deal(df: DataFrame, columns: Sequence[str], partitions: int) -> DataFrame:
+    """Rows dealt by the values of ``columns`` to as many partitions as ``fit`` would take.
+
+    Whatever rows of it are fitted without ``partitions``, each partition holds those, in the
+    order, that dealing them alone to the same number would give: one shuffle serves all folds.
+    """
+    return dealt(df, max(partitions, math.ceil(df.count() / PART_ROWS)), columns)
+
+
 def predict(model: PipelineModel | None, df: DataFrame) -> DataFrame:
     """Add ``prediction``; the assembled vector is dropped again."""
     if model is None:
@@ -254,7 +266,7 @@ def fold_summary(scores: DataFrame, by: Sequence[str] = ("model", "metric"), con
 
 def compare_models(
     df: DataFrame, folds: Sequence[tuple[DataFrame, DataFrame]], models: Sequence[str], features: Sequence[str], target: str,
-    params: Mapping[str, Mapping] | None = None, parallelism: int = 4,
+    params: Mapping[str, Mapping] | None = None, parallelism: int = 4, train_scores: bool = True,
 ) -> DataFrame:
     """Fold scores of several models; names outside the zoo are skipped."""
     known = [m for m in models if m in ZOO]
@@ -262,7 +274,7 @@ def compare_models(
         raise ValueError("No known model to compare")
     scores = None
     for m in known:
-        part = cross_validate(df, folds, m, features, target, parallelism=parallelism, **(params or {}).get(m, {}))
+        part = cross_validate(df, folds, m, features, target, train_scores, parallelism, **(params or {}).get(m, {}))
         scores = part if scores is None else scores.unionByName(part)
     return scores
 

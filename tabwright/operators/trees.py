@@ -116,8 +116,9 @@ class Trees:
     def score(self, cells: Sequence[np.ndarray]) -> np.ndarray:
         out = None
         for offsets, values in self.tables:
-            at = sum((o.take(c) for o, c in zip(offsets[1:], cells[1:])), offsets[0].take(cells[0]))
-            out = values.take(at) if out is None else out + values.take(at)
+            at = sum((o.take(c, mode="clip") for o, c in zip(offsets[1:], cells[1:])), offsets[0].take(cells[0], mode="clip"))
+            found = values.take(at, mode="clip")  # never out of range; clipping is the fastest mode
+            out = found if out is None else out + found
         return out / self.divisor
 
     def shapley(self, background: np.ndarray) -> Shapley:
@@ -145,9 +146,9 @@ class Shapley:
         """Per feature: the contribution to every row."""
         out = [np.zeros(len(cells[0])) for _ in self.trees.features]
         for path, inside, shares in self.terms:
-            own = sum((bits.take(cells[f]) for bits, f in zip(inside[1:], path[1:])), inside[0].take(cells[path[0]]))
+            own = sum((bits.take(cells[f], mode="clip") for bits, f in zip(inside[1:], path[1:])), inside[0].take(cells[path[0]], mode="clip"))
             for f, share in zip(path, shares):
-                out[f] += share.take(own)
+                out[f] += share.take(own, mode="clip")
         return out
 
 

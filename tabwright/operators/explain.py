@@ -57,9 +57,12 @@ def _spread(df: DataFrame, key: str, *columns: Column) -> DataFrame:
     return df.select(F.col(key), *columns).repartition(tasks, key)
 
 
-def _long(df: DataFrame, key: str, features: Sequence[str], value: Callable[[str], Column], contribution: Callable[[str], Column], *kept: str) -> DataFrame:
+def _long(
+    df: DataFrame, key: str, features: Sequence[str], value: Callable[[str], Column], contribution: Callable[[str], Column], *kept: str,
+    more: Callable[[str], list[Column]] = lambda f: [],
+) -> DataFrame:
     rows = [
-        F.struct(F.lit(f).alias("feature"), value(f).cast("double").alias("feature_value"), contribution(f).alias("contribution"))
+        F.struct(F.lit(f).alias("feature"), value(f).cast("double").alias("feature_value"), contribution(f).alias("contribution"), *more(f))
         for f in features
     ]
     return df.select(key, *kept, F.inline(F.array(*rows)))
@@ -436,50 +439,65 @@ def _mix_in_place(h: np.ndarray, spare: np.ndarray) -> np.ndarray:
     return h
 
 
+def _tree_solver(bins: list[dict], trees: Trees, samples: int, top: int, penalty: float) -> Callable:
+    """The draws, scores, weights and normal equations of ``local_surrogates`` for a batch of rows.
+
+    Takes the rows' seeds, values and cells; gives predictions, intercepts, chosen features and their weights.
+    """
+    d = len(bins)
+    draws = [_Draws(spec, trees, j) for j, spec in enumerate(bins)]
+    z = ((np.arange(1 << d)[:, None] >> np.arange(d)) & 1).astype("float64")
+    w = np.sqrt(np.exp(-(d - z.sum(axis=1)) / (0.75 * 0.75 * d)))
+    counted = np.column_stack([w, w[:, None] * z, *[w * z[:, i] * z[:, k] for i, k in _pairs(d)]])
+    valued = counted[:, : 1 + d]
+    start = np.arange(samples, dtype="uint64")[None, :] * np.uint64(0x9E3779B97F4A7C15)
+    step = max(1, 32_768 // samples)
+
+    def solve(seeds: np.ndarray, x: Sequence[np.ndarray], cells: Sequence[np.ndarray]) -> tuple[np.ndarray, ...]:
+        own = [np.searchsorted(draw.cuts, v, side="left") for draw, v in zip(draws, x)]
+        sums, predicted = np.empty((len(seeds), 2 + 2 * d + len(_pairs(d)))), np.empty(len(seeds))
+        for low in range(0, len(seeds), step):
+            rows = slice(low, min(low + step, len(seeds)))
+            n = rows.stop - low
+            base = seeds[rows, None] + start
+            h, spare = np.empty_like(base), np.empty_like(base)
+            _mix_in_place(base, spare)
+            at = [np.zeros(base.shape, dtype="int64") for _ in trees.tables]
+            code = np.zeros(base.shape, dtype="uint16")
+            for j, draw in enumerate(draws):
+                np.add(base, np.uint64(j + 1), out=h)
+                _mix_in_place(h, spare)
+                drawn = draw.bins(h)
+                kept = drawn == own[j][rows, None].astype("uint8")
+                kept[:, 0] = True
+                code += kept * np.uint16(1 << j)
+                if len(draw.edges):
+                    draw.add_offsets(h, drawn, cells[j][rows], at)
+            y = sum((values.take(place, mode="clip") for place, (_, values) in zip(at, trees.tables)), 0.0) / trees.divisor
+            pattern = code + (np.arange(n) << d)[:, None]
+            number = np.bincount(pattern.ravel(), minlength=n << d).reshape(n, -1)
+            value = np.bincount(pattern.ravel(), y.ravel(), minlength=n << d).reshape(n, -1)
+            c, v = number @ counted, value @ valued
+            sums[rows] = np.concatenate([c[:, :1], v[:, :1], c[:, 1 : 1 + d], v[:, 1:], c[:, 1 + d :]], axis=1)
+            predicted[rows] = y[:, 0]
+        return predicted, *_solve(sums, d, top, penalty)
+
+    return solve
+
+
+def _seeds(batch: pd.DataFrame) -> np.ndarray:
+    return batch["_seed"].to_numpy().astype("int64").view("uint64")
+
+
 def _tree_surrogates(bins: list[dict], trees: Trees, samples: int, top: int, penalty: float):
-    """The draws, scores, weights and normal equations of ``local_surrogates`` in one pass per row."""
+    """Surrogates in one pass per row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        d = len(bins)
-        draws = [_Draws(spec, trees, j) for j, spec in enumerate(bins)]
-        z = ((np.arange(1 << d)[:, None] >> np.arange(d)) & 1).astype("float64")
-        w = np.sqrt(np.exp(-(d - z.sum(axis=1)) / (0.75 * 0.75 * d)))
-        counted = np.column_stack([w, w[:, None] * z, *[w * z[:, i] * z[:, k] for i, k in _pairs(d)]])
-        valued = counted[:, : 1 + d]
-        start = np.arange(samples, dtype="uint64")[None, :] * np.uint64(0x9E3779B97F4A7C15)
-        step = max(1, 32_768 // samples)
+        solve = _tree_solver(bins, trees, samples, top, penalty)
         for batch in batches:
-            x = _own_values(batch, d)
-            seeds = batch["_seed"].to_numpy().astype("int64").view("uint64")
-            cells = trees.cells(x)
-            own = [np.searchsorted(draw.cuts, v, side="left") for draw, v in zip(draws, x)]
-            sums, predicted = np.empty((len(batch), 2 + 2 * d + len(_pairs(d)))), np.empty(len(batch))
-            for low in range(0, len(batch), step):
-                rows = slice(low, min(low + step, len(batch)))
-                n = rows.stop - low
-                base = seeds[rows, None] + start
-                h, spare = np.empty_like(base), np.empty_like(base)
-                _mix_in_place(base, spare)
-                at = [np.zeros(base.shape, dtype="int64") for _ in trees.tables]
-                code = np.zeros(base.shape, dtype="uint16")
-                for j, draw in enumerate(draws):
-                    np.add(base, np.uint64(j + 1), out=h)
-                    _mix_in_place(h, spare)
-                    drawn = draw.bins(h)
-                    kept = drawn == own[j][rows, None].astype("uint8")
-                    kept[:, 0] = True
-                    code += kept * np.uint16(1 << j)
-                    if len(draw.edges):
-                        draw.add_offsets(h, drawn, cells[j][rows], at)
-                y = sum((values.take(place, mode="clip") for place, (_, values) in zip(at, trees.tables)), 0.0) / trees.divisor
-                pattern = code + (np.arange(n) << d)[:, None]
-                number = np.bincount(pattern.ravel(), minlength=n << d).reshape(n, -1)
-                value = np.bincount(pattern.ravel(), y.ravel(), minlength=n << d).reshape(n, -1)
-                c, v = number @ counted, value @ valued
-                sums[rows] = np.concatenate([c[:, :1], v[:, :1], c[:, 1 : 1 + d], v[:, 1:], c[:, 1 + d :]], axis=1)
-                predicted[rows] = y[:, 0]
+            x = _own_values(batch, len(bins))
             if len(batch):
-                intercept, pick, weights = _solve(sums, d, top, penalty)
+                predicted, intercept, pick, weights = solve(_seeds(batch), x, trees.cells(x))
                 out = batch.drop(columns="_seed").assign(prediction=predicted, intercept=intercept)
                 for k in range(pick.shape[1]):
                     out[f"_chosen_{k}"], out[f"_weight_{k}"] = pick[:, k].astype("int32"), weights[:, k]
@@ -570,6 +588,57 @@ def explain_rows(attributed: DataFrame, surrogates: DataFrame, key: str) -> Data
     return attributed.join(surrogates.select(key, "feature", "rule", "weight"), [key, "feature"], "left")
 
 
+def explain_table(
+    df: DataFrame, key: str, features: Sequence[str], scorer: Scorer, background: DataFrame, training: DataFrame,
+    samples: int = 1000, top: int = 10, seed: int = 42, penalty: float = 1.0,
+) -> DataFrame:
+    """``explain_rows`` of ``attributions`` and ``local_surrogates`` of a whole table.
+
+    A ``TreeScorer`` of up to MAX_PATTERN features gives both in one map over the rows, so that no
+    (row, feature) table is joined with another; other scorers join them. ``key`` must be unique.
+    """
+    trees, d = _trees(scorer, features) if len(features) <= MAX_PATTERN else None, len(features)
+    if trees is None:
+        surrogates = local_surrogates(df, key, features, scorer, training, samples, top, seed, penalty)
+        return explain_rows(attributions(df, key, features, scorer, background), surrogates, key)
+    shapley = trees.shapley(np.array(background_rows(background, features)))
+    bins = quartile_bins(training, features)
+    specs = [bins[f] for f in features]
+    own = [F.col(f).cast("double").alias(f"_x_{j}") for j, f in enumerate(features)]
+    rows = _spread(df, key, F.xxhash64(key, F.lit(seed)).alias("_seed"), *own)
+    ship(rows.sparkSession)
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        solve = _tree_solver(specs, shapley.trees, samples, top, penalty)
+        for batch in batches:
+            x = _own_values(batch, d)
+            if len(batch):
+                cells = shapley.trees.cells(x)
+                _, _, pick, chosen = solve(_seeds(batch), x, cells)
+                weights, ruled = np.zeros((len(batch), d)), np.zeros((len(batch), d), dtype=bool)
+                np.put_along_axis(weights, pick, chosen, axis=1)
+                np.put_along_axis(ruled, pick, True, axis=1)
+                out = batch.drop(columns="_seed").assign(base_value=shapley.base, prediction=shapley.trees.score(cells))
+                for j, share in enumerate(shapley(cells)):
+                    out[f"_c_{j}"], out[f"_weight_{j}"], out[f"_ruled_{j}"] = share, weights[:, j], ruled[:, j]
+                yield out
+
+    added = ["base_value double", "prediction double", *[f"_c_{j} double, _weight_{j} double, _ruled_{j} boolean" for j in range(d)]]
+    schema = ", ".join([f"`{c}` {t}" for c, t in rows.dtypes if c != "_seed"] + added)
+    index = {f: j for j, f in enumerate(features)}
+
+    def surrogate(f: str) -> list[Column]:
+        edges, ruled = bins[f]["edges"], F.col(f"_ruled_{index[f]}")
+        rule = _rule(f, _bin(F.col(f"_x_{index[f]}"), edges), edges)
+        return [F.when(ruled, rule).alias("rule"), F.when(ruled, F.col(f"_weight_{index[f]}")).alias("weight")]
+
+    long = _long(
+        rows.mapInPandas(explain, schema), key, features, lambda f: F.col(f"_x_{index[f]}"), lambda f: F.col(f"_c_{index[f]}"),
+        "base_value", "prediction", more=surrogate,
+    )
+    return long.select(key, "feature", "base_value", "prediction", "feature_value", "contribution", "rule", "weight")
+
+
 def explain_model(attributed: DataFrame, importances: Sequence[tuple[str, float]]) -> DataFrame:
     """Mean absolute attribution next to the model's own importance."""
     own = attributed.sparkSession.createDataFrame(list(importances), "feature string, model_importance double")

@@ -78,18 +78,22 @@ def _bracketed_counts(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
     brackets = cut(_brackets(df, columns, probs, by))
     if not _few_groups(brackets):
         return None
-    around = null_safe_join(df.select(*by, *(_known(c).alias(f"_x{i}") for i, c in enumerate(columns))), brackets, by, broadcast=True)
-    pairs = []
-    for i, c in enumerate(columns):
-        x = F.col(f"_x{i}")
-        lows, highs = ([F.col(f"_{side}{i}_{j}") for j in range(len(probs))] for side in ("low", "high"))
-        inside = reduce(Column.__or__, [x.between(low, high) for low, high in zip(lows, highs)])
-        # the nearest edge below, or the lowest edge for what lies below all brackets
-        passed = _most(F.greatest, [F.when(x > high, high) for high in highs])
-        edge = F.when(inside, x).when(passed.isNotNull(), passed).otherwise(_most(F.least, lows))
-        side = F.when(inside, 0).when(passed.isNotNull(), 1).otherwise(-1)
-        pairs.append(F.struct(F.lit(c).alias("column"), edge.alias("_v"), side.alias("_side"), x.alias("_x")))
-    values = around.select(*by, F.inline(F.array(*pairs))).filter("_x is not null")
+    # brackets travel as arrays, so that one expression serves all columns: one per column and
+    # bracket is more code than the JVM compiles
+    edges = [F.array(*[F.col(f"_{side}{i}_{j}") for j in range(len(probs))]).alias(f"_{side}s{i}") for i in range(len(columns)) for side in ("low", "high")]
+    around = null_safe_join(df.select(*by, *(_known(c).alias(f"_x{i}") for i, c in enumerate(columns))), brackets.select(*by, *edges), by, broadcast=True)
+    pairs = [
+        F.struct(F.lit(c).alias("column"), F.col(f"_x{i}").alias("_x"), F.col(f"_lows{i}").alias("_lows"), F.col(f"_highs{i}").alias("_highs"))
+        for i, c in enumerate(columns)
+    ]
+    x = F.col("_x")
+    lows, highs = ([F.col(side)[j] for j in range(len(probs))] for side in ("_lows", "_highs"))
+    inside = reduce(Column.__or__, [x.between(low, high) for low, high in zip(lows, highs)])
+    # the nearest edge below, or the lowest edge for what lies below all brackets
+    passed = _most(F.greatest, [F.when(x > high, high) for high in highs])
+    edge = F.when(inside, x).when(passed.isNotNull(), passed).otherwise(_most(F.least, lows))
+    side = F.when(inside, 0).when(passed.isNotNull(), 1).otherwise(-1)
+    values = around.select(*by, F.inline(F.array(*pairs))).filter("_x is not null").select(*by, "column", edge.alias("_v"), side.alias("_side"))
     sided = cut(values.groupBy(*by, "column", "_v", "_side").agg(F.count(F.lit(1)).alias("n")))
     if not _covered(sided, brackets, columns, probs, by):
         return None

@@ -118,7 +118,8 @@ def explanation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def explained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attribution and surrogate rule of every row and feature."""
     rows, model = _small_forest(spark, sf_dir)
-    return explain.explain_rows(_forest_attributions(rows, model), _surrogates(rows, model), KEY)
+    sample = explain.default_background(rows, KEY, portable=True)
+    return explain.explain_table(rows, KEY, EXPLAINED, TreeScorer(model), sample, rows, top=4)
 
 
 TEMP_GRID = [0.0, 0.125, 0.25, 0.5, 0.75, 1.0]

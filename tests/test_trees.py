@@ -101,3 +101,29 @@ def test_plans_widen_no_rows(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(TreeScorer, "__call__", lambda *_: pytest.fail("rows were widened"))
     for plan in (explanations.forest_attributions_add_up, explanations.local_surrogates, explanations.explained_rows, explanations.explanation_report):
         plan(spark, sf_dir)
+
+
+def test_explained_table_equals_joined_explanations_and_joins_nothing(days, model):
+    rows, bg = days.limit(60).cache(), explain.default_background(days, "o_orderkey", 20)
+    scorer = TreeScorer(model)
+    got = explain.explain_table(rows, "o_orderkey", FEATURES, scorer, bg, days, samples=300, top=2)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    surrogates = explain.local_surrogates(rows, "o_orderkey", FEATURES, scorer, days, samples=300, top=2)
+    want = explain.explain_rows(explain.attributions(rows, "o_orderkey", FEATURES, scorer, bg), surrogates, "o_orderkey")
+    assert got.dtypes == want.dtypes
+    found = got.orderBy("o_orderkey", "feature").collect()
+    assert found == want.orderBy("o_orderkey", "feature").collect()
+    assert len(found) == 240 and sum(r["rule"] is not None for r in found) == sum(r["weight"] is not None for r in found) == 120
+
+
+def test_explained_table_of_other_scorers(days):
+    rows, bg = days.limit(5).cache(), explain.default_background(days, "o_orderkey", 4)
+    score = lambda df: df.withColumn("prediction", F.col("temp") * 2 - F.col("hum"))
+    found = explain.explain_table(rows, "o_orderkey", ["temp", "hum"], score, bg, days, samples=50, top=1).collect()
+    assert len(found) == 10 and sum(r["rule"] is not None for r in found) == 5
+
+
+def test_explained_rows_plan_joins_nothing(spark, sf_dir):
+    from tabwright.plans import explanations
+
+    assert "Join" not in explanations.explained_rows(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

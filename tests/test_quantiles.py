@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -66,3 +67,23 @@ def test_empty_table_and_other_types(spark):
     assert q.quantiles(empty, ["v"], [0.5]).collect() == [] and q.quantiles(empty, ["v"], [0.5], ["g"]).collect() == []
     whole = spark.createDataFrame([(1, "a"), (4, "b")], "v int, _n0 string")
     assert [r.value for r in q.quantiles(whole, ["v"], [0.5]).collect()] == [2.5]
+
+
+def test_counting_code_stays_small_enough_to_be_compiled(spark, monkeypatch, capsys):
+    """The JVM leaves methods of more than 8,000 bytes uncompiled; six columns must not add up to that."""
+    sizes, keep = [], q.cut
+
+    def seen(df):
+        df.explain("codegen")
+        sizes.extend(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out))
+        return keep(df)
+
+    monkeypatch.setattr(q, "cut", seen)
+    df = spark.range(3_000).select(*[((F.col("id") * 37 % (101 + i)).cast("double") / 100).alias(f"c{i}") for i in range(6)])
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # its plans show no code before they run
+    try:
+        q.quantile_literals(df, df.columns, [0.25, 0.5, 0.75])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8_000

@@ -23,6 +23,8 @@ from tabwright.operators.histograms import FLOOR, MIN_STD, Bins, binned_drift
 from tabwright.operators.quantiles import MAX_COUNTERS, quantile_literals
 from tabwright.operators.ranking import running_totals
 
+ROUNDING = 1e-12  # sums of the same values in another order differ by less
+
 
 def value_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
     """(column, value, n_ref, n_cur) over both tables; the missing are one value, null."""
@@ -172,10 +174,10 @@ def drift_report(
     A column also counts as drifted if the share of its missing values changed by the threshold;
     its score is then that change, if it is the larger.
     """
-    parts = []
+    parts, limit = [], threshold - abs(threshold) * ROUNDING
     if numerical and not exact:
         found = cut(_with_missing(binned_drift(ref, cur, numerical, bins), "numerical", "wasserstein", F.col("wasserstein_error"), threshold))
-        undecided = (F.col("score") < threshold) & (F.col("score") + F.col("error") >= threshold)
+        undecided = (F.col("score") < limit) & (F.col("score") + F.col("error") >= limit)
         unclear = [r["column"] for r in found.filter(undecided).select("column").collect()]
         parts.append(found.filter(~F.col("column").isin(unclear)) if unclear else found)
     else:
@@ -188,7 +190,7 @@ def drift_report(
         counts = cut(value_counts(ref, cur, categorical, "string"))
         found = _categorical(counts).join(missing_shares(counts), "column")
         parts.append(_with_missing(found, "categorical", "jensen_shannon", F.lit(0.0), threshold))
-    return reduce(DataFrame.unionByName, parts).withColumn("drifted", F.col("score") >= threshold)
+    return reduce(DataFrame.unionByName, parts).withColumn("drifted", F.col("score") >= limit)
 
 
 def _with_missing(found: DataFrame, kind: str, method: str, error: Column, threshold: float) -> DataFrame:

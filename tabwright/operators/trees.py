@@ -52,8 +52,10 @@ class Trees:
     divisor: float
 
     @classmethod
-    def of(cls, model: PipelineModel, features: Sequence[str]) -> Trees | None:
-        """The trees of a fitted pipeline over these features; None if it is another model or too large for tables."""
+    def of(cls, model: PipelineModel | None, features: Sequence[str]) -> Trees | None:
+        """The trees of a fitted pipeline over these features; None if it is another model, none or too large for tables."""
+        if model is None:
+            return None
         fitted, names = model.stages[-1], model.stages[0].getInputCols()
         text = fitted.toDebugString if hasattr(fitted, "toDebugString") else ""
         if set(names) != set(features) or " in {" in text or "If (" not in text:
